@@ -4,7 +4,7 @@ import importlib
 
 from offerloom.plans.registry import ORACLES, QUERIES
 
-MODULES = ("sources_sinks", "projections")
+MODULES = ("sources_sinks", "projections", "filters", "joins", "aggregations")
 for _name in MODULES:
     importlib.import_module(f"offerloom.plans.{_name}")
 
