@@ -76,6 +76,17 @@ def valid_url(url: Column) -> Column:
     return F.startswith(text, F.lit("http"))
 
 
+def _without(pairs: Column, name: str) -> Column:
+    return F.filter(pairs, lambda p: p.k != name)
+
+
+def _with_value(pairs: Column, name: str, value: str) -> Column:
+    """The pair replaced where the name exists, appended where it does not."""
+    entry = F.struct(F.lit(name).alias("k"), F.lit(value).alias("v"))
+    replaced = F.transform(pairs, lambda p: F.when(p.k == name, entry).otherwise(p))
+    return F.when(F.exists(pairs, lambda p: p.k == name), replaced).otherwise(F.concat(pairs, F.array(entry)))
+
+
 def set_query_param(url: Column, params: Mapping[str, str | None]) -> Column:
     """The URL with query parameters set (or removed, for None); first value per name wins."""
     base = F.regexp_extract(url, r"^[^?#]*", 0)
@@ -92,13 +103,7 @@ def set_query_param(url: Column, params: Mapping[str, str | None]) -> Column:
     names = F.transform(pairs, lambda p: p.k)
     pairs = F.filter(pairs, lambda p, i: F.array_position(names, p.k) == i + 1)
     for name, value in params.items():
-        if value is None:
-            pairs = F.filter(pairs, lambda p, n=name: p.k != n)
-            continue
-        replacement = F.struct(F.lit(name).alias("k"), F.lit(str(value)).alias("v"))
-        pairs = F.when(F.exists(pairs, lambda p, n=name: p.k == n),
-                       F.transform(pairs, lambda p, n=name, r=replacement: F.when(p.k == n, r).otherwise(p)))\
-            .otherwise(F.concat(pairs, F.array(replacement)))
+        pairs = _without(pairs, name) if value is None else _with_value(pairs, name, str(value))
     encoded = F.array_join(
         F.transform(pairs, lambda p: F.concat(F.url_encode(p.k), F.lit("="), F.url_encode(p.v))), "&")
     return F.concat(base, F.when(encoded != "", F.concat(F.lit("?"), encoded)).otherwise(F.lit("")), fragment)

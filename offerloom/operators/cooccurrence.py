@@ -35,20 +35,20 @@ def _mask_counts(links: DataFrame, doc: str, term: str, terms: DataFrame) -> Dat
 
 
 def pair_counts(links: DataFrame, doc: str, term: str, n: int = 50) -> DataFrame:
-    """(term_a, term_b, both) for a before b in name order, and the counts of each term."""
+    """(term_a, term_b, together) for a before b in name order, and the counts of each term."""
     terms = frequent_terms(links, term, n)
     masks = _mask_counts(links, doc, term, terms)
     bits = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.getbit("mask", i) == 1)
     rows = masks.select("docs", bits.alias("bits")).select("docs", "bits", F.explode("bits").alias("a")) \
         .select("docs", "a", F.explode(F.filter("bits", lambda i: i > F.col("a"))).alias("b"))
-    counts = rows.groupBy("a", "b").agg(F.sum("docs").alias("both"))
+    counts = rows.groupBy("a", "b").agg(F.sum("docs").alias("together"))
     left = terms.select(F.col("bit").alias("a"), F.col(term).alias("x"), F.col("df").alias("df_x"))
     right = terms.select(F.col("bit").alias("b"), F.col(term).alias("y"), F.col("df").alias("df_y"))
     named = counts.join(left, "a").join(right, "b")
     swap = F.col("x") > F.col("y")
     return named.select(
         F.when(swap, F.col("y")).otherwise(F.col("x")).alias("term_a"),
-        F.when(swap, F.col("x")).otherwise(F.col("y")).alias("term_b"), "both",
+        F.when(swap, F.col("x")).otherwise(F.col("y")).alias("term_b"), "together",
         F.when(swap, F.col("df_y")).otherwise(F.col("df_x")).alias("df_a"),
         F.when(swap, F.col("df_x")).otherwise(F.col("df_y")).alias("df_b"))
 
@@ -64,9 +64,9 @@ def correlation(links: DataFrame, doc: str, term: str, docs_total: DataFrame, n:
         .select("x", F.explode(F.slice("l", F.col("i") + 2, F.size("l"))).alias("y")) \
         .select(F.col("x.t").alias("term_a"), F.col("y.t").alias("term_b"),
                 F.col("x.df").cast("double").alias("na"), F.col("y.df").cast("double").alias("nb"))
-    met = pair_counts(links, doc, term, n).select("term_a", "term_b", "both")
+    met = pair_counts(links, doc, term, n).select("term_a", "term_b", "together")
     total = docs_total.agg(F.count(F.lit(1)).cast("double")).scalar()
     rows = grid.join(met, ["term_a", "term_b"], "left").withColumn("n", total)
     spread = F.sqrt(F.col("na") * (F.col("n") - F.col("na")) * F.col("nb") * (F.col("n") - F.col("nb")))
     return rows.select("term_a", "term_b", F.round(F.try_divide(
-        F.col("n") * F.coalesce("both", F.lit(0)) - F.col("na") * F.col("nb"), spread), 6).alias("correlation"))
+        F.col("n") * F.coalesce("together", F.lit(0)) - F.col("na") * F.col("nb"), spread), 6).alias("correlation"))

@@ -1,10 +1,11 @@
 """Lexicon-based skill extraction.
 
-A text is cut into word runs and single other characters; the pieces concatenate
-back to the text, so a lexicon term is a fixed sequence of pieces.  Inside each row
-only positions whose piece starts a lexicon term are kept; those few candidates are
-exploded and matched by an equi-join with the lexicon.  Overlapping terms all match,
-and nothing is shuffled before the per-document maximum.
+A text is cut into overlapping windows and each window into word runs and single
+other characters; the pieces concatenate back to the window, so a lexicon term is a
+fixed sequence of pieces.  Inside each window only positions whose piece starts a
+lexicon term are kept; those few candidates are exploded and matched by an equi-join
+with the lexicon.  Overlapping terms all match, and nothing is shuffled before the
+per-document maximum.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from offerloom.functions.text import normalize_skill_text
 from offerloom.schemas import LEXICON
 
 MAX_LEXICON_TERMS = 200_000
+MAX_INLINE_TERMS = 5_000
+WINDOW_CHARS = 512
 PIECE = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]"
 
 # The parts of the confidence score.
@@ -109,52 +112,69 @@ def _pieces(term: str) -> list[str]:
     return re.findall(r"[^\W]+|\W", term)
 
 
+def _windows(texts: DataFrame, id_col: str, text_col: str, look_ahead: int) -> DataFrame:
+    """Texts as overlapping windows: (id, window, core offset in the window, core length, text offset).
+
+    The cores tile the text; each window adds the characters before and after its core
+    that a match starting in the core can need.  Work per candidate is thus bounded by
+    the window, however long the text is.
+    """
+    size = max(WINDOW_CHARS, look_ahead)
+    chunks = texts.where(F.col(text_col).isNotNull()).select(
+        id_col, F.regexp_extract_all(normalize_skill_text(F.col(text_col)), F.lit("(?s).{1,%d}" % size), F.lit(0))
+        .alias("__c"))
+
+    def window(core: Column, k: Column) -> Column:
+        before = F.coalesce(F.right(F.get("__c", k - 1), F.lit(CONTEXT_CHARS + 1)), F.lit(""))
+        after = F.coalesce(F.left(F.get("__c", k + 1), F.lit(look_ahead)), F.lit(""))
+        return F.struct(F.concat(before, core, after).alias("text"), F.length(before).alias("core_start"),
+                        F.length(core).alias("core_length"), (k * size).alias("offset"))
+
+    return chunks.select(id_col, F.explode(F.transform("__c", window)).alias("w")).select(id_col, "w.*")
+
+
 def find_terms(texts: DataFrame, terms: Sequence[LexiconTerm], id_col: str, text_col: str) -> DataFrame:
     """Every occurrence: id, term attributes, whether it is early, upper-case first, near a cue word."""
     spark = texts.sparkSession
     lexicon = lexicon_frame(spark, terms).withColumn("__key", F.lower("term"))
     first_pieces = sorted({_pieces(t.term.lower())[0] for t in terms})
     lengths = sorted({len(_pieces(t.term)) for t in terms})
+    look_ahead = max(len(t.term) for t in terms) + CONTEXT_CHARS + 1
+    windows = _windows(texts, id_col, text_col, look_ahead) \
+        .withColumn("__p", F.regexp_extract_all("text", F.lit(PIECE), F.lit(0)))
+
+    def joined(start: Column, length: Column) -> Column:
+        return F.array_join(F.slice("__p", start, length), "")
 
-    def joined(pieces: Column, start: Column, length: Column) -> Column:
-        return F.array_join(F.slice(pieces, start, length), "")
-
-    def candidate(pieces: Column, p: Column, i: Column) -> Column:
-        # Every piece has at least one character, so 50 characters span at most 50 pieces.
-        before_count = F.least(i, F.lit(CONTEXT_CHARS))
-        early = F.when(i >= EARLY_CHARS, F.lit(False)).otherwise(
-            F.length(joined(pieces, F.lit(1), i)) < EARLY_CHARS)
-        before = F.lower(F.right(joined(pieces, i + 1 - before_count, before_count), F.lit(CONTEXT_CHARS)))
-        grams = F.array(*[
-            F.struct(
-                F.lower(joined(pieces, i + 1, F.lit(n))).alias("key"),
-                F.left(joined(pieces, i + 1 + n, F.lit(CONTEXT_CHARS)), F.lit(CONTEXT_CHARS)).alias("after"))
-            for n in lengths])
-        return F.struct(early.alias("early"), F.left(p, F.lit(1)).alias("head"), before.alias("before"),
-                        grams.alias("grams"))
-
-    pieces_of = texts.where(F.col(text_col).isNotNull()).select(
-        id_col, F.regexp_extract_all(normalize_skill_text(F.col(text_col)), F.lit(PIECE), F.lit(0)).alias("__p"))
     indexed = F.filter(F.transform("__p", lambda p, i: F.struct(p.alias("p"), i.alias("i"))),
                        lambda s: F.lower(s.p).isin(*first_pieces))
-    candidates = F.transform(indexed, lambda s: candidate(F.col("__p"), s.p, s.i))
-    rows = pieces_of.select(id_col, F.explode(candidates).alias("c")) \
-        .select(id_col, "c.early", "c.head", "c.before", F.explode("c.grams").alias("g")) \
-        .select(id_col, "early", "head", "before", F.col("g.key").alias("__key"), F.col("g.after").alias("after"))
-    hits = rows.join(lexicon, "__key")
+    keyed = F.transform(indexed, lambda s: F.struct(s.i.alias("i"), F.array(*[
+        F.lower(F.concat_ws("", s.p, *[F.get("__p", s.i + k) for k in range(1, n)])) for n in lengths]).alias("keys")))
+    if len(terms) <= MAX_INLINE_TERMS:
+        # Small lexicons are tested in place, so that positions are computed for real matches only.
+        known = sorted({t.term.lower() for t in terms})
+        keyed = F.filter(F.transform(keyed, lambda s: F.struct(
+            s.i.alias("i"), F.filter(s["keys"], lambda k: k.isin(*known)).alias("keys"))), lambda s: F.size(s["keys"]) > 0)
+    placed = F.transform(keyed, lambda s: F.struct(F.length(joined(F.lit(1), s.i)).alias("at"), s["keys"].alias("keys")))
+    inside = F.filter(placed, lambda s: (s["at"] >= F.col("core_start"))
+                      & (s["at"] < F.col("core_start") + F.col("core_length")))
+    rows = windows.select(id_col, "text", (F.col("offset") - F.col("core_start")).alias("base"), F.explode(inside).alias("c")) \
+        .select(id_col, "text", "base", "c.at", F.explode("c.keys").alias("__key"))
+    hits = rows.join(lexicon, "__key").select(
+        id_col, "term", "canonical", "type", "category", "rank",
+        (F.col("base") + F.col("at") < EARLY_CHARS).alias("early"),
+        F.substring("text", F.col("at") + 1, F.lit(1)).alias("head"),
+        F.right(F.left("text", F.col("at")), F.lit(CONTEXT_CHARS)).alias("before"),
+        F.substring("text", F.col("at") + F.length("term") + 1, F.lit(CONTEXT_CHARS)).alias("after"))
 
     # A term that starts or ends with a non-word character must not touch a word there.
-    word = r"[\p{L}\p{N}_]"
-    free_left = ~(F.left("term", F.lit(1)).rlike(f"[^\\p{{L}}\\p{{N}}_]") & F.col("before").rlike(word + "$"))
-    free_right = ~(F.right("term", F.lit(1)).rlike(f"[^\\p{{L}}\\p{{N}}_]") & F.col("after").rlike("^" + word))
-    context = F.concat_ws("", "before", "__key", F.lower("after"))
-    near_cue = F.lit(False)
-    for cue in CUE_WORDS:
-        near_cue = near_cue | F.contains(context, F.lit(cue))
-    return hits.where(free_left & free_right).select(
+    blocked_left = F.left("term", F.lit(1)).rlike(r"[^\p{L}\p{N}_]") & F.col("before").rlike(r"[\p{L}\p{N}_]$")
+    blocked_right = F.right("term", F.lit(1)).rlike(r"[^\p{L}\p{N}_]") & F.col("after").rlike(r"^[\p{L}\p{N}_]")
+    context = F.lower(F.concat("before", F.col("term"), F.col("after")))
+    return hits.where(~blocked_left & ~blocked_right).select(
         id_col, "term", "canonical", "type", "category", "rank", "early",
         ((F.upper("head") == F.col("head")) & (F.lower("head") != F.col("head"))).alias("upper_first"),
-        near_cue.alias("near_cue"))
+        context.rlike("|".join(CUE_WORDS)).alias("near_cue"))
 
 
 def confidence() -> Column:
@@ -168,7 +188,9 @@ def extract_skills(texts: DataFrame, terms: Sequence[LexiconTerm], id_col: str =
                    text_col: str = "description", min_confidence: float = 0.5) -> DataFrame:
     """One row per document and canonical skill with its best score."""
     found = find_terms(texts, terms, id_col, text_col).withColumn("confidence", confidence())
-    best = found.where(F.col("confidence") >= min_confidence).groupBy(id_col, "canonical").agg(
+    if min_confidence > BASE_SCORE:
+        found = found.where(F.col("confidence") >= min_confidence)
+    best = found.groupBy(id_col, "canonical").agg(
         F.max("confidence").alias("confidence"),
         F.min(F.struct("rank", "type", "category")).alias("first"))
     return best.select(id_col, F.col("canonical").alias("skill"), F.col("first.type").alias("type"),
@@ -215,3 +237,24 @@ def skill_documents(offers: DataFrame, id_col: str, competences: str, savoir_etr
     text = F.array_join(names, " ")
     return offers.select(id_col, text.alias("document"),
                          F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)).alias("tokens"))
+
+
+def expand_lexicon_table(entries: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The same expansion for a lexicon kept as a table (rank, canonical, type, category)."""
+    name = F.col("canonical")
+    no_alias = F.array().cast("array<string>")
+    known = no_alias
+    if aliases:
+        table = F.create_map(*[c for k, vs in aliases.items() for c in (F.lit(k), F.array(*[F.lit(v) for v in vs]))])
+        known = F.coalesce(F.try_element_at(table, name), no_alias)
+    dotted = F.when(F.contains(name, F.lit(".")), F.array(F.replace(name, F.lit("."), F.lit("")))).otherwise(no_alias)
+    hyphened = F.when(F.contains(name, F.lit("-")), F.array(
+        F.replace(name, F.lit("-"), F.lit(" ")), F.replace(name, F.lit("-"), F.lit("")))).otherwise(no_alias)
+    latest = entries.groupBy("canonical").agg(F.max_by(F.struct("type", "category", "rank"), "rank").alias("e")) \
+        .select(F.col("canonical").alias("term"), "canonical", "e.type", "e.category", "e.rank")
+    eligible = entries.where((F.col("type") == "competences") & (F.col("category") != "certifications"))
+    spelled = eligible.select(F.explode(F.concat(known, dotted, hyphened)).alias("term"),
+                              F.struct("rank", "canonical", "type", "category").alias("e"))
+    first = spelled.groupBy("term").agg(F.min_by("e", "e.rank").alias("e")) \
+        .select("term", "e.canonical", "e.type", "e.category", "e.rank")
+    return latest.unionByName(first.join(latest.select("term"), "term", "left_anti"))

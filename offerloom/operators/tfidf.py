@@ -108,12 +108,24 @@ class TfidfModel:
             "term", F.round(F.col("s") / total, 6).alias("tfidf_score"))
 
 
+    def top_terms(self, docs: DataFrame, id_col: str, tokens: str, k: int) -> DataFrame:
+        """The k highest weights of each document, chosen inside the row (no shuffle)."""
+        vectors = self.transform(docs.select(id_col, tokens), tokens)
+        entries = F.transform(_named_entries("features", self.terms), lambda x: F.struct(
+            (-F.round(x.w, 6)).alias("o"), x.term.alias("term")))
+        best = F.slice(F.array_sort(entries), 1, k)
+        return vectors.select(id_col, F.posexplode(best).alias("pos", "x")).select(
+            id_col, F.col("x.term").alias("term"), (-F.col("x.o")).alias("tfidf"), (F.col("pos") + 1).alias("rank"))
+
+
+def _named_entries(vector: str, names: list[str]) -> Column:
+    labels = F.array(*[F.lit(n) for n in names])
+    return F.filter(F.arrays_zip(labels.alias("term"), vector_to_array(F.col(vector)).alias("w")), lambda x: x.w != 0)
+
+
 def explode_vector(df: DataFrame, id_col: str, vector: str, names: list[str], value: str) -> DataFrame:
     """Non-zero entries of a vector column with their names."""
-    labels = F.array(*[F.lit(n) for n in names])
-    pairs = F.filter(F.arrays_zip(labels.alias("term"), vector_to_array(F.col(vector)).alias("w")),
-                     lambda x: x.w != 0)
-    return df.select(id_col, F.explode(pairs).alias("x")).select(
+    return df.select(id_col, F.explode(_named_entries(vector, names)).alias("x")).select(
         id_col, F.col("x.term").alias("term"), F.col("x.w").alias(value))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from offerloom.functions.offers import content_uid, source_type
 from offerloom.functions.text import split_list
 from offerloom.operators.ranking import keep_first
+from offerloom.session import materialize
 
 KEY_BUCKETS_HEX = 3  # 16^3 = 4096 buckets
 
@@ -177,26 +178,26 @@ def upsert(tables: Mapping[str, DataFrame], incoming: DataFrame, seq: str, now:
 
     Needs dim_source, dim_region, dim_company, dim_contract, dim_skill, fact_offers and
     fact_offer_skill; the caller writes the result as one snapshot, which makes the
-    batch all-or-nothing.
+    batch all-or-nothing.  The new offers feed every table, so they are checkpointed.
     """
     fresh = new_offers(incoming, tables["fact_offers"], seq).select(
         "*", F.coalesce("source", F.lit("manual")).alias("source_name"),
         F.coalesce("region_name", F.lit("Unknown")).alias("__region"),
         F.coalesce("company_name", F.lit("Unknown")).alias("__company"),
         F.coalesce("contract_type", F.lit("Unknown")).alias("__contract"))
+    start = F.coalesce(tables["fact_offers"].agg(F.max("offer_key")).scalar(), F.lit(0))
+    keyed = materialize(numbered(fresh, "uid", "offer_key", start))
     dims = {
-        "dim_source": get_or_create(tables["dim_source"], fresh, "source_name", "source_key",
+        "dim_source": get_or_create(tables["dim_source"], keyed, "source_name", "source_key",
                                     {"source_type": F.lit("manual")}),
-        "dim_region": get_or_create(tables["dim_region"], fresh.select(F.col("__region").alias("region_name")),
+        "dim_region": get_or_create(tables["dim_region"], keyed.select(F.col("__region").alias("region_name")),
                                     "region_name", "region_key",
                                     {"latitude": F.lit(0.0), "longitude": F.lit(0.0)}),
-        "dim_company": get_or_create(tables["dim_company"], fresh.select(F.col("__company").alias("company_name")),
+        "dim_company": get_or_create(tables["dim_company"], keyed.select(F.col("__company").alias("company_name")),
                                      "company_name", "company_key"),
-        "dim_contract": get_or_create(tables["dim_contract"], fresh.select(F.col("__contract").alias("contract_type")),
+        "dim_contract": get_or_create(tables["dim_contract"], keyed.select(F.col("__contract").alias("contract_type")),
                                       "contract_type", "contract_key"),
     }
-    start = F.coalesce(tables["fact_offers"].agg(F.max("offer_key")).scalar(), F.lit(0))
-    keyed = numbered(fresh, "uid", "offer_key", start)
     dim_skill, links = link_skills(keyed, tables["dim_skill"], "offer_key", "all_skills")
     counts = links.groupBy("offer_key").agg(F.count(F.lit(1)).cast("int").alias("skills_count"))
     rows = keyed.drop("skills_count").join(counts, "offer_key", "left") \
