@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                 files_per_batch: int | None = None) -> DataFrame:
+    """A file stream over a folder or a glob pattern."""
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -21,14 +22,15 @@ def first_seen(stream: DataFrame, uid: str, event_time: str, watermark: str) ->
     return stream.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([uid])
 
 
-def run_to_end(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def run_to_end(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
+               mode: str = "append") -> None:
     """Processes everything available now; a restart resumes from the checkpoint."""
-    query = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    query = (stream.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
 
 
-def append_new(target: str, uid: str) -> Callable[[DataFrame, int], None]:
+def append_batches(target: str) -> Callable[[DataFrame, int], None]:
     """Batch writer that is safe to repeat: each batch owns one folder and overwrites only it."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
