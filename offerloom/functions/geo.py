@@ -26,6 +26,11 @@ def _region_struct(region: Region) -> Column:
                     F.lit(float(region.lon)).alias("lon"))
 
 
+def _places(entries: Sequence[tuple[str, Region]]) -> Column:
+    return F.array(*[F.struct(fold_place(F.lit(name)).alias("place"), _region_struct(r).alias("hit"))
+                     for name, r in entries])
+
+
 def geo_region(location: Column, regions: Sequence[Region], departments: Mapping[str, str]) -> Column:
     """struct<region, lat, lon> by département code, else city, else region name.
 
@@ -36,23 +41,19 @@ def geo_region(location: Column, regions: Sequence[Region], departments: Mapping
     if entries > MAX_REFERENCE_ENTRIES:
         raise ValueError(f"region reference has {entries} entries; join it as a table instead")
     by_name = {r.name: r for r in regions}
-    code = F.regexp_extract(location, r"(?U)\b(\d{2,3}|2[AB])\b", 1)
-    folded = fold_place(location)
-    usable = folded != ""
-
-    candidates = []
     known = {d: r for d, r in departments.items() if r in by_name}
+    by_code = F.lit(None)
     if known:
         table = F.create_map(*[c for d, r in known.items() for c in (F.lit(d), _region_struct(by_name[r]))])
-        candidates.append(F.try_element_at(table, code))
-    cities = [(city, r) for r in regions for city in r.cities]
-    if cities:
-        rows = F.array(*[F.struct(fold_place(F.lit(c)).alias("place"), _region_struct(r).alias("hit"))
-                         for c, r in cities])
-        matching = F.filter(rows, lambda x: F.contains(folded, x.place) | F.contains(x.place, folded))
-        candidates.append(F.when(usable, F.get(matching, F.lit(0)).hit))
-    if regions:
-        rows = F.array(*[F.struct(fold_place(F.lit(r.name)).alias("place"), _region_struct(r).alias("hit"))
-                         for r in regions])
-        candidates.append(F.get(F.filter(rows, lambda x: F.contains(folded, x.place)), F.lit(0)).hit)
-    return F.coalesce(*candidates)
+        by_code = F.try_element_at(table, F.regexp_extract(location, r"(?U)\b(\d{2,3}|2[AB])\b", 1))
+    cities = _places([(city, r) for r in regions for city in r.cities])
+    names = _places([(r.name, r) for r in regions])
+
+    def by_place(folded: Column) -> Column:
+        in_city = F.filter(cities, lambda x: F.contains(folded, x.place) | F.contains(x.place, folded))
+        in_name = F.filter(names, lambda x: F.contains(folded, x.place))
+        return F.when(folded != "", F.coalesce(F.get(in_city, F.lit(0)).hit, F.get(in_name, F.lit(0)).hit))
+
+    # The one-element array binds the folded location, so that it is computed once per row.
+    place_hit = F.get(F.transform(F.array(fold_place(location)), by_place), F.lit(0))
+    return F.coalesce(by_code, place_hit)

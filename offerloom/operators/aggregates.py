@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerloom.functions.text import each
 from offerloom.operators.ranking import top_per_group
 
 
@@ -179,7 +180,7 @@ def mean_median(df: DataFrame, value: str) -> DataFrame:
 
 def item_frequency(df: DataFrame, items: Column, n: int | None = None, name: str = "item") -> DataFrame:
     """Occurrences of array items, most frequent first."""
-    counts = df.select(F.explode(items).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.select(each(items).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
     ordered = counts.orderBy(F.desc("n"), F.asc(name))
     return ordered if n is None else ordered.limit(n)
 
@@ -203,7 +204,7 @@ def radar_counts(links: DataFrame, regions: Sequence[str], skills: Sequence[str]
 
 def corpus_stats(df: DataFrame, tokens: Column) -> DataFrame:
     """Words, distinct words, words per document and diversity."""
-    word_counts = df.select(F.explode(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    word_counts = df.select(each(tokens).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     totals = word_counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_words"),
                              F.count(F.lit(1)).alias("unique_words"))
     return totals.select(
@@ -215,7 +216,7 @@ def corpus_stats(df: DataFrame, tokens: Column) -> DataFrame:
 def term_counts(df: DataFrame, tokens: Column, terms: Sequence[str]) -> DataFrame:
     """Occurrences of the listed single-word terms (tokens are filtered before any shuffle)."""
     hits = F.filter(tokens, lambda t: t.isin(*terms))
-    return df.select(F.explode(hits).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(each(hits).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def letter_term_counts(df: DataFrame, text: Column, letters: Sequence[str]) -> DataFrame:

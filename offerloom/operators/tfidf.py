@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from offerloom.functions.text import each
 from offerloom.operators.ranking import top_per_group
 
 MAX_DRIVER_FEATURES = 10_000
@@ -57,7 +58,7 @@ def grouped_tfidf(docs: DataFrame, id_col: str, tokens: str, group: str, *, min_
                   max_df: float = 1.0, max_features: int = 50) -> DataFrame:
     """(group, id, term, tfidf), every group with its own vocabulary and document frequencies."""
     vocab = vocabulary(docs, tokens, group=group, min_df=min_df, max_df=max_df, max_features=max_features)
-    hits = docs.select(group, id_col, F.explode(tokens).alias("term")) \
+    hits = docs.select(group, id_col, each(F.col(tokens)).alias("term")) \
         .join(vocab.select(group, "term", "idf"), [group, "term"])
     weights = hits.groupBy(group, id_col, "term").agg((F.count(F.lit(1)) * F.max("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(group, id_col)))
@@ -142,7 +143,7 @@ def fit_tfidf(docs: DataFrame, tokens: str, *, min_df: int = 1, max_df: float =
 
 def group_terms(docs: DataFrame, tokens: Column, group: str, n: int) -> DataFrame:
     """Most frequent terms per group (one concatenated text per group has a constant idf)."""
-    counts = docs.where(F.col(group).isNotNull()).select(group, F.explode(tokens).alias("term")) \
+    counts = docs.where(F.col(group).isNotNull()).select(group, each(tokens).alias("term")) \
         .groupBy(group, "term").agg(F.count(F.lit(1)).alias("n"))
     return top_per_group(counts, [group], [F.desc("n"), F.asc("term")], n, rank="rank")
 

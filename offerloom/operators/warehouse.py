@@ -83,7 +83,8 @@ def build_dim_date(df: DataFrame, ts: str) -> DataFrame:
 
 def build_fact(offers: DataFrame, dims: Mapping[str, DataFrame], seq: str) -> DataFrame:
     """Fact rows: first offer per uid, surrogate keys looked up, the three skill counts."""
-    fact = keep_first(offers, ["uid"], [F.col(seq)])
+    # Numbered before the lookups: the bucket sizes then need the uids only.
+    fact = numbered(keep_first(offers.drop("offer_key"), ["uid"], [F.col(seq)]), "uid", "offer_key")
     lookups = (("dim_source", "source", "source_name", "source_key"),
                ("dim_region", "region", "region_name", "region_key"),
                ("dim_company", "company", "company_name", "company_key"),
@@ -96,8 +97,7 @@ def build_fact(offers: DataFrame, dims: Mapping[str, DataFrame], seq: str) -> Da
         return F.coalesce(F.size(col), F.lit(0))
 
     published = F.to_date(F.try_to_timestamp("published_date"))
-    numbered_fact = numbered(fact.drop("offer_key") if "offer_key" in fact.columns else fact, "uid", "offer_key")
-    return numbered_fact.select(
+    return fact.select(
         "offer_key", "uid", "offer_id", "source_key", "region_key", "company_key", "contract_key",
         F.date_format(published, "yyyyMMdd").cast("bigint").alias("date_key"),
         "title", "source_url", "location", "salary", "remote", "published_date", "description",

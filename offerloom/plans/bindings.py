@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions.geo import Region
 from offerloom.operators.skills import Entry, expand_lexicon
+from offerloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -146,8 +147,8 @@ def with_roles(*names: str, extra: str = "") -> str:
 
 def bridge(spark: SparkSession, d: str) -> DataFrame:
     """Distinct offer-skill pairs."""
-    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("offer_key"),
-                                              F.col("l_partkey").alias("skill_key")).distinct()
+    lines = spread(table(spark, d, "lineitem").select("l_orderkey", "l_partkey"), "l_orderkey")
+    return lines.select(F.col("l_orderkey").alias("offer_key"), F.col("l_partkey").alias("skill_key")).distinct()
 
 
 def skills(spark: SparkSession, d: str) -> DataFrame:
@@ -200,7 +201,11 @@ def located_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"), "doc_id")
+
+
+def pages(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "pages"), "page_id")
 
 
 def stamp(col: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from offerloom.functions.text import clean_tokens, ngrams_1_2, tokenize, words
+from offerloom.functions.text import clean_tokens, each, ngrams_1_2, tokenize, words
 from offerloom.operators import cooccurrence, density, models, similarity
 from offerloom.operators.ranking import top_per_group
 from offerloom.operators.tfidf import (explode_vector, fit_tfidf, group_terms, regional_terms, specialisation)
@@ -146,7 +146,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY scope, grp ORDER BY n DESC, term
 SELECT scope, grp, term, n FROM r WHERE k <= 100""")
 def term_weights_per_group(spark, d):
     """Counted once per (lang, source, term); the wider scopes are summed from those counts."""
-    base = word_docs(spark, d).select("lang", "source", F.explode("tokens").alias("term")) \
+    base = word_docs(spark, d).select("lang", "source", each(F.col("tokens")).alias("term")) \
         .groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n"))
     scopes = F.array(*[F.struct(F.lit(s).alias("scope"), g.alias("grp")) for s, g in
                        (("all", F.lit("*")), ("lang", F.col("lang")), ("source", F.col("source")))])
@@ -294,7 +294,7 @@ def vectors_of_words(spark, d):
 
 
 def frequent_words(spark, d, n):
-    counts = vocabulary_docs(spark, d).select(F.explode("tokens").alias("word")).groupBy("word") \
+    counts = vocabulary_docs(spark, d).select(each(F.col("tokens")).alias("word")).groupBy("word") \
         .agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), F.asc("word")).limit(n)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions.text import words
 from offerloom.operators.tfidf import group_terms
+from offerloom.plans.bindings import pages as html_pages
 from offerloom.plans.bindings import (CONTRACTS, DATES, LOCATIONS, SALARIES, TITLES, documents, offers, pick,
                                       pick_sql, regions, stamp, table, with_roles)
 from offerloom.plans.registry import query
@@ -128,7 +129,7 @@ SELECT page_id, url, nullif(regexp_extract(url, '/emplois/(\d+)\.html', 1), '')
        trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&')) AS title, 'unknown' AS remote
 FROM pages""")
 def parse_html_pages(spark, d):
-    return pages.offers_from_pages(table(spark, d, "pages")).select("page_id", "url", "offer_id", "title", "remote")
+    return pages.offers_from_pages(html_pages(spark, d)).select("page_id", "url", "offer_id", "title", "remote")
 
 
 HTML_TEXT_SQL = r"""
@@ -141,7 +142,7 @@ FROM pages"""
 
 @query("html_to_text", HTML_TEXT_SQL)
 def html_to_text(spark, d):
-    return pages.parse_pages(table(spark, d, "pages")).select("page_id", "page_text")
+    return pages.parse_pages(html_pages(spark, d)).select("page_id", "page_text")
 
 
 @query("extract_description", rf"""
@@ -149,7 +150,7 @@ WITH t AS ({HTML_TEXT_SQL})
 SELECT page_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(page_text, '<[^>]+>', '', 'g'),
        'https?://\S+', '', 'g'), '\s+', ' ', 'g')), 1, 5000) AS description FROM t""")
 def extract_description(spark, d):
-    return pages.offers_from_pages(table(spark, d, "pages")).select("page_id", "description")
+    return pages.offers_from_pages(html_pages(spark, d)).select("page_id", "description")
 
 
 LINK_BASE = "https://offres.example"
@@ -159,7 +160,7 @@ LINK_BASE = "https://offres.example"
 WITH h AS (SELECT trim(unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href="([^"]*)"', 1))) AS href FROM pages)
 SELECT DISTINCT '{LINK_BASE}' || href AS url FROM h WHERE contains(href, '/') AND href LIKE '%n'""")
 def extract_links(spark, d):
-    return pages.page_links(table(spark, d, "pages"), "html", LINK_BASE, "/", "n")
+    return pages.page_links(html_pages(spark, d), "html", LINK_BASE, "/", "n")
 
 
 NOTICES = (

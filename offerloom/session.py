@@ -55,3 +55,13 @@ def materialize(df, eager: bool = True):
     """Cut the lineage of an iterative job through the reliable checkpoint folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager)
+
+
+def spread(df, key: str):
+    """Redistributes an input that has fewer splits than the session has cores.
+
+    Text work is bound by CPU, so a small table in one file is spread over all cores
+    first; a table at scale has far more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
