@@ -9,34 +9,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 MAX_MASK_TERMS = 62
 
 
 def frequent_terms(links: DataFrame, term: str, n: int = 50) -> DataFrame:
-    """The n terms in most documents with a bit position (links: distinct document-term pairs)."""
+    """The n terms in most documents with a bit position (links: distinct document-term pairs).
+
+    At most 62 rows reach the driver and come back as a literal table, so that the plans
+    that use them do not count the links again.
+    """
     if n > MAX_MASK_TERMS:
         raise ValueError(f"at most {MAX_MASK_TERMS} terms fit a presence mask")
     counts = links.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
-    best = counts.orderBy(F.desc("df"), F.asc(term)).limit(n)
-    # n rows at most, hence one task is enough for the numbering.
-    return best.withColumn("bit", F.row_number().over(W.orderBy(F.desc("df"), F.asc(term))) - 1)
+    best = counts.orderBy(F.desc("df"), F.asc(term)).limit(n).collect()
+    kind = links.schema[term].dataType.simpleString()
+    return links.sparkSession.createDataFrame([(r[term], r["df"], i) for i, r in enumerate(best)],
+                                              f"{term} {kind}, df bigint, bit int")
 
 
 def presence(links: DataFrame, doc: str, term: str, n: int = 50) -> DataFrame:
     """Long form of the binary matrix: (doc, term) for the n most frequent terms."""
-    return links.join(frequent_terms(links, term, n).select(term), term, "left_semi").select(doc, term)
+    kept = F.broadcast(frequent_terms(links, term, n).select(term))
+    return links.join(kept, term, "left_semi").select(doc, term)
 
 
 def _mask_counts(links: DataFrame, doc: str, term: str, terms: DataFrame) -> DataFrame:
-    bits = links.join(terms.select(term, "bit"), term).select(doc, F.expr("shiftleft(1L, bit)").alias("b"))
+    bits = links.join(F.broadcast(terms.select(term, "bit")), term).select(doc, F.expr("shiftleft(1L, bit)").alias("b"))
     return bits.groupBy(doc).agg(F.bit_or("b").alias("mask")).groupBy("mask").agg(F.count(F.lit(1)).alias("docs"))
 
 
 def pair_counts(links: DataFrame, doc: str, term: str, n: int = 50) -> DataFrame:
     """(term_a, term_b, together) for a before b in name order, and the counts of each term."""
-    terms = frequent_terms(links, term, n)
+    return _pairs_of(links, doc, term, frequent_terms(links, term, n), n)
+
+
+def _pairs_of(links: DataFrame, doc: str, term: str, terms: DataFrame, n: int) -> DataFrame:
     masks = _mask_counts(links, doc, term, terms)
     bits = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.getbit("mask", i) == 1)
     rows = masks.select("docs", bits.alias("bits")).select("docs", "bits", F.explode("bits").alias("a")) \
@@ -44,7 +52,7 @@ def pair_counts(links: DataFrame, doc: str, term: str, n: int = 50) -> DataFrame
     counts = rows.groupBy("a", "b").agg(F.sum("docs").alias("together"))
     left = terms.select(F.col("bit").alias("a"), F.col(term).alias("x"), F.col("df").alias("df_x"))
     right = terms.select(F.col("bit").alias("b"), F.col(term).alias("y"), F.col("df").alias("df_y"))
-    named = counts.join(left, "a").join(right, "b")
+    named = counts.join(F.broadcast(left), "a").join(F.broadcast(right), "b")
     swap = F.col("x") > F.col("y")
     return named.select(
         F.when(swap, F.col("y")).otherwise(F.col("x")).alias("term_a"),
@@ -64,7 +72,7 @@ def correlation(links: DataFrame, doc: str, term: str, docs_total: DataFrame, n:
         .select("x", F.explode(F.slice("l", F.col("i") + 2, F.size("l"))).alias("y")) \
         .select(F.col("x.t").alias("term_a"), F.col("y.t").alias("term_b"),
                 F.col("x.df").cast("double").alias("na"), F.col("y.df").cast("double").alias("nb"))
-    met = pair_counts(links, doc, term, n).select("term_a", "term_b", "together")
+    met = _pairs_of(links, doc, term, terms, n).select("term_a", "term_b", "together")
     total = docs_total.agg(F.count(F.lit(1)).cast("double")).scalar()
     rows = grid.join(met, ["term_a", "term_b"], "left").withColumn("n", total)
     spread = F.sqrt(F.col("na") * (F.col("n") - F.col("na")) * F.col("nb") * (F.col("n") - F.col("nb")))

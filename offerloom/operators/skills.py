@@ -136,6 +136,7 @@ def _windows(texts: DataFrame, id_col: str, text_col: str, look_ahead: int) -> D
 def find_terms(texts: DataFrame, terms: Sequence[LexiconTerm], id_col: str, text_col: str) -> DataFrame:
     """Every occurrence: id, term attributes, whether it is early, upper-case first, near a cue word."""
     spark = texts.sparkSession
+    # lexicon_frame has checked the number of terms, so the broadcast is bounded.
     lexicon = lexicon_frame(spark, terms).withColumn("__key", F.lower("term"))
     first_pieces = sorted({_pieces(t.term.lower())[0] for t in terms})
     lengths = sorted({len(_pieces(t.term)) for t in terms})
@@ -160,7 +161,7 @@ def find_terms(texts: DataFrame, terms: Sequence[LexiconTerm], id_col: str, text
                       & (s["at"] < F.col("core_start") + F.col("core_length")))
     rows = windows.select(id_col, "text", (F.col("offset") - F.col("core_start")).alias("base"), F.explode(inside).alias("c")) \
         .select(id_col, "text", "base", "c.at", F.explode("c.keys").alias("__key"))
-    hits = rows.join(lexicon, "__key").select(
+    hits = rows.join(F.broadcast(lexicon), "__key").select(
         id_col, "term", "canonical", "type", "category", "rank",
         (F.col("base") + F.col("at") < EARLY_CHARS).alias("early"),
         F.substring("text", F.col("at") + 1, F.lit(1)).alias("head"),

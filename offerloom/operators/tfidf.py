@@ -24,6 +24,7 @@ from offerloom.functions.text import each
 from offerloom.operators.ranking import top_per_group
 
 MAX_DRIVER_FEATURES = 10_000
+MAX_BROADCAST_ROWS = 500_000
 
 
 def _term_statistics(docs: DataFrame, tokens: str, group: str | None) -> DataFrame:
@@ -38,13 +39,28 @@ def _term_statistics(docs: DataFrame, tokens: str, group: str | None) -> DataFra
         F.sum("x.cf").alias("cf"), F.sum("x.df").alias("df"))
 
 
-def vocabulary(docs: DataFrame, tokens: str, *, group: str | None = None, min_df: int = 1,
-               max_df: float = 1.0, max_features: int | None = None) -> DataFrame:
-    """Kept terms with cf, df, the number of documents n and idf."""
+def _bounded(side: DataFrame, docs: DataFrame, group: str, rows_per_group: int) -> DataFrame:
+    """A per-group table marked for broadcast if the counted groups keep it small.
+
+    With more groups than that it stays a plain join, which Spark shuffles and splits
+    where it is skewed.
+    """
+    most = MAX_BROADCAST_ROWS // rows_per_group
+    groups = docs.select(group).distinct().limit(most + 1).count()
+    return F.broadcast(side) if groups <= most else side
+
+
+def group_sizes(docs: DataFrame, group: str) -> DataFrame:
+    return docs.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+
+
+def vocabulary(docs: DataFrame, tokens: str, *, group: str | None = None, min_df: int = 1, max_df: float = 1.0,
+               max_features: int | None = None, min_docs: int = 1) -> DataFrame:
+    """Kept terms with cf, df, the number of documents n and idf; smaller groups have no terms."""
     stats = _term_statistics(docs, tokens, group)
     if group:
-        sizes = docs.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-        stats = stats.join(sizes, group)
+        sizes = group_sizes(docs, group).where(F.col("n") >= min_docs)
+        stats = stats.join(_bounded(sizes, docs, group, 1), group)
     else:
         stats = stats.withColumn("n", docs.agg(F.count(F.lit(1))).scalar())
     kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.col("n") * F.lit(max_df)))
@@ -55,11 +71,12 @@ def vocabulary(docs: DataFrame, tokens: str, *, group: str | None = None, min_df
 
 
 def grouped_tfidf(docs: DataFrame, id_col: str, tokens: str, group: str, *, min_df: int = 2,
-                  max_df: float = 1.0, max_features: int = 50) -> DataFrame:
+                  max_df: float = 1.0, max_features: int = 50, min_docs: int = 1) -> DataFrame:
     """(group, id, term, tfidf), every group with its own vocabulary and document frequencies."""
-    vocab = vocabulary(docs, tokens, group=group, min_df=min_df, max_df=max_df, max_features=max_features)
+    vocab = vocabulary(docs, tokens, group=group, min_df=min_df, max_df=max_df, max_features=max_features,
+                       min_docs=min_docs)
     hits = docs.select(group, id_col, each(F.col(tokens)).alias("term")) \
-        .join(vocab.select(group, "term", "idf"), [group, "term"])
+        .join(_bounded(vocab.select(group, "term", "idf"), docs, group, max_features), [group, "term"])
     weights = hits.groupBy(group, id_col, "term").agg((F.count(F.lit(1)) * F.max("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(group, id_col)))
     return weights.withColumn("tfidf", F.col("w") / norm).drop("w")
@@ -68,12 +85,10 @@ def grouped_tfidf(docs: DataFrame, id_col: str, tokens: str, group: str, *, min_
 def regional_terms(docs: DataFrame, id_col: str, tokens: str, group: str, *, min_docs: int = 5,
                    max_features: int = 50, top: int = 20) -> DataFrame:
     """Leading terms by mean TF-IDF of every group with enough documents."""
-    sizes = docs.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("group_docs")) \
-        .where(F.col("group_docs") >= min_docs)
-    weights = grouped_tfidf(docs.join(sizes.select(group), group, "left_semi"), id_col, tokens, group,
-                            max_features=max_features)
-    means = weights.groupBy(group, "term").agg(F.sum("tfidf").alias("s")).join(sizes, group).select(
-        group, "term", F.round(F.col("s") / F.col("group_docs"), 6).alias("tfidf_score"))
+    weights = grouped_tfidf(docs, id_col, tokens, group, max_features=max_features, min_docs=min_docs)
+    sums = weights.groupBy(group, "term").agg(F.sum("tfidf").alias("s"))
+    means = sums.join(group_sizes(docs, group), group).select(
+        group, "term", F.round(F.col("s") / F.col("n"), 6).alias("tfidf_score"))
     return top_per_group(means, [group], [F.desc("tfidf_score"), F.asc("term")], top, rank="rank")
 
 

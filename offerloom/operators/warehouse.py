@@ -27,7 +27,7 @@ def numbered(df: DataFrame, name: str, key: str, start: Column | int = 0) -> Dat
     sizes = bucketed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select("__b", (F.sum("__n").over(W.orderBy("__b")) - F.col("__n")).alias("__o"))
     base = start if isinstance(start, Column) else F.lit(start)
-    return local.join(offsets, "__b").withColumn(key, (base + F.col("__o") + F.col("__i")).cast("bigint")) \
+    return local.join(F.broadcast(offsets), "__b").withColumn(key, (base + F.col("__o") + F.col("__i")).cast("bigint")) \
         .drop("__b", "__i", "__o")
 
 
@@ -82,7 +82,11 @@ def build_dim_date(df: DataFrame, ts: str) -> DataFrame:
 
 
 def build_fact(offers: DataFrame, dims: Mapping[str, DataFrame], seq: str) -> DataFrame:
-    """Fact rows: first offer per uid, surrogate keys looked up, the three skill counts."""
+    """Fact rows: first offer per uid, surrogate keys looked up, the three skill counts.
+
+    Pass dimensions read back from storage: their real size then decides between
+    broadcast and shuffle.
+    """
     # Numbered before the lookups: the bucket sizes then need the uids only.
     fact = numbered(keep_first(offers.drop("offer_key"), ["uid"], [F.col(seq)]), "uid", "offer_key")
     lookups = (("dim_source", "source", "source_name", "source_key"),

@@ -108,9 +108,17 @@ FACT_COLUMNS = ("offer_key", "uid", "offer_id", "source_key", "region_key", "com
                 "skills_count", "competences_count", "savoir_etre_count")
 
 
+def stored(spark, label, tables):
+    """Tables written and read back, so that the joins on them know their real size."""
+    root = scratch_path(spark, label)
+    write_snapshot(spark, root, tables)
+    return {name: read_snapshot(spark, root, name) for name in tables}
+
+
 def loaded(spark, d):
+    """Load order of the warehouse: dimensions first, then the fact that refers to them."""
     rows = harmonised(spark, d)
-    dims = wh.build_dimensions(rows)
+    dims = stored(spark, "dimensions", wh.build_dimensions(rows))
     return rows, dims, wh.build_fact(rows, dims, "seq")
 
 
@@ -123,7 +131,8 @@ def build_fact(spark, d):
 SELECT DISTINCT offer_key, skill_key FROM n JOIN dk USING (skill_name) JOIN f USING (uid)""")
 def build_bridge(spark, d):
     rows, _, fact = loaded(spark, d)
-    return wh.build_bridge(rows, fact, wh.build_dim_skill(rows))
+    dim_skill = stored(spark, "skills", {"dim_skill": wh.build_dim_skill(rows)})["dim_skill"]
+    return wh.build_bridge(rows, fact, dim_skill)
 
 
 @query("get_or_create_dim", f"""WITH m AS (SELECT max(r_regionkey) AS k FROM region),
