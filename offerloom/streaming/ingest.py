@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from offerloom.operators.warehouse import upsert
+from offerloom.sources.snapshots import read_snapshot, write_snapshot
+
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                 files_per_batch: int | None = None) -> DataFrame:
@@ -35,3 +38,15 @@ def append_batches(target: str) -> Callable[[DataFrame, int], None]:
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
     return handle
+
+
+def upsert_batches(root: str, tables: Sequence[str], seq: str, now: Column) -> Callable[[DataFrame, int], None]:
+    """Batch writer that turns each batch of contributed offers into a new warehouse snapshot.
+
+    A repeated batch finds its uids present and adds nothing.
+    """
+    def handle(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        current = {name: read_snapshot(spark, root, name) for name in tables}
+        write_snapshot(spark, root, upsert(current, batch, seq, now))
+    return handle

@@ -85,7 +85,7 @@ def test_unify_accepts_missing_columns_and_sources(spark):
     assert unify_all(None, raw.unionByName(raw), None, "seq").count() == 1
 
 
-def test_upsert_twice_changes_nothing(spark):
+def empty_warehouse(spark):
     def empty(schema):
         return spark.createDataFrame([], schema)
 
@@ -102,12 +102,20 @@ def test_upsert_twice_changes_nothing(spark):
             "remote string, published_date string, description string, skills_count int, competences_count int, "
             "savoir_etre_count int, added_by string"),
     }
-    batch = spark.createDataFrame(
+    return tables
+
+
+def contributed(spark):
+    return spark.createDataFrame(
         [(1, None, "Data", "Acme", "Lyon", None, None, "CDI", "u", None, None, "d", "SQL, SQL,Python"),
          (2, None, "DATA", "acme", "lyon", "web", "ARA", None, "u", None, None, "d", ""),
          (3, None, "Dev", None, None, "web", "ARA", None, "u", None, None, "d", None)],
         "seq int, offer_id string, title string, company_name string, location string, source string, region_name string, "
         "contract_type string, url string, salary string, remote string, description string, all_skills string")
+
+
+def test_upsert_twice_changes_nothing(spark):
+    tables, batch = empty_warehouse(spark), contributed(spark)
     root, now = scratch_path(spark, "test-upsert"), F.lit("2024-01-02 03:04:05").cast("timestamp")
     write_snapshot(spark, root, wh.upsert(tables, batch, "seq", now))
     first = {n: read_snapshot(spark, root, n) for n in tables}
@@ -238,3 +246,19 @@ def test_stream_drops_repeats_across_restarts(spark):
     assert run() == ["a", "b"]
     arrive("b", "c")
     assert run() == ["a", "b", "c"]
+
+
+def test_streamed_upsert_equals_one_batch(spark):
+    source, root = scratch_path(spark, "test-upsert-in"), scratch_path(spark, "test-upsert-root")
+    now = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    tables, batch = empty_warehouse(spark), contributed(spark)
+    write_snapshot(spark, root, tables)
+    for n in (1, 2, 3):
+        batch.where(F.col("seq") == n).coalesce(1).write.mode("append").parquet(source)
+    handler = ingest.upsert_batches(root, list(tables), "seq", now)
+    stream = ingest.read_stream(spark, source, batch.schema, files_per_batch=2)
+    ingest.run_to_end(stream, handler, root + "/checkpoint")
+    streamed = {r["uid"] for r in read_snapshot(spark, root, "fact_offers").collect()}
+    whole = {r["uid"] for r in wh.upsert(tables, batch, "seq", now)["fact_offers"].collect()}
+    assert streamed == whole and len(streamed) == 2
+    assert current_version(spark, root)[0] >= 2
