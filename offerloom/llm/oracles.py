@@ -42,3 +42,14 @@ scored AS (SELECT r, item_id, b, sum(least(window_bags.c, item_bags.c)) AS share
     FROM window_bags JOIN item_bags USING (item_id, s) GROUP BY r, item_id, b)
 SELECT doc_id, item_id, CAST(max(shared / (total - shared)) AS DOUBLE) AS similarity, CAST(min(b) - 1 AS INTEGER) AS first_word
 FROM scored JOIN docs USING (r) WHERE shared / (total - shared) >= 0.8 GROUP BY doc_id, item_id"""
+
+SUBSTRING_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+windows AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM docs)),
+repeated AS (SELECT r, i FROM windows JOIN (SELECT s FROM windows GROUP BY s HAVING count(*) > 1) USING (s)),
+gone AS (SELECT DISTINCT r, j FROM (SELECT r, unnest(range(i, i + 35)) AS j FROM repeated)),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY j) AS line FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM docs)
+    ANTI JOIN gone USING (r, j) GROUP BY r),
+lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r) LEFT JOIN lost USING (r)"""
