@@ -59,7 +59,8 @@ def _simhash(hashes: Column, planes: int) -> Column:
             equal = equal.bitwiseAND(F.bitwise_not(c[i].bitwiseXOR(bit)))
         return more
 
-    return F.transform(F.array(counts), above)[0]
+    # not nullable: a null check that Spark derives from the join would be computed a second time below it
+    return F.coalesce(F.transform(F.array(counts), above)[0], F.lit(0).cast("long"))
 
 
 def _bag(hashes: Column) -> Column:
