@@ -175,12 +175,24 @@ class Adam:
         self.net.p[name][rows] -= self.rate * (m[rows] / (1 - 0.9 ** self.step)) / (np.sqrt(v[rows] / (1 - 0.99 ** self.step)) + 1e-6)
 
 
-def _seed_inputs(net: Network, sides: list[tuple[str, np.ndarray, np.ndarray]], y: np.ndarray) -> None:
-    """First input coordinate: how much more often toxic texts of the sample hold a slot (clipped log-odds)."""
-    for name, slot, text in sides:
-        slot, text = np.divmod(np.unique(slot * len(y) + text), len(y))
-        toxic = np.bincount(slot, y[text], len(net.p[name]))
-        clean = np.bincount(slot, 1 - y[text], len(net.p[name]))
+def _seed_inputs(net: Network, word: np.ndarray, text: np.ndarray, slot: np.ndarray, gram: np.ndarray, begin: np.ndarray,
+                 y: np.ndarray, step: int = 100) -> None:
+    """First input coordinate: how much more often toxic texts of the sample hold a slot (clipped log-odds).
+
+    word, text: the distinct words of each text; a few texts at a time, so that their n-grams stay few in memory.
+    """
+    seen = {name: np.zeros((2, len(net.p[name]))) for name in ("word", "char")}
+    order = np.argsort(text, kind="stable")
+    edges = np.searchsorted(text[order], np.arange(0, len(y) + step, step))
+    for low, high in zip(edges, edges[1:]):
+        w, t = word[order[low:high]], text[order[low:high]]
+        span = begin[w + 1] - begin[w]
+        at = np.repeat(begin[w] - (np.cumsum(span) - span), span) + np.arange(span.sum())
+        for name, slots, texts in (("word", slot[w], t), ("char", gram[at], np.repeat(t, span))):
+            s, owner = np.divmod(np.unique(slots * len(y) + texts), len(y))
+            for k in (0, 1):
+                seen[name][k] += np.bincount(s, y[owner] == k, len(seen[name][k]))
+    for name, (clean, toxic) in seen.items():
         odds = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((clean + 0.5) / (len(y) - y.sum() + 1))
         net.p[name][:, 0] = np.where(toxic + clean >= 3, np.clip(odds, -1, 3), 0)
 
@@ -202,9 +214,7 @@ def train(texts: list[bytes], y: np.ndarray, rounds: int = 8, batch: int = 512,
     text_of = np.repeat(np.arange(len(texts)), size)
     learn = ~aside[text_of]
     word, text = np.divmod(np.unique((ids[learn] - 1) * len(texts) + text_of[learn]), len(texts))
-    span = begin[word + 1] - begin[word]
-    at = np.repeat(begin[word] - (np.cumsum(span) - span), span) + np.arange(span.sum())
-    _seed_inputs(net, [("word", slot[word], text), ("char", gram[at], np.repeat(text, span))], np.where(aside, 0, y))
+    _seed_inputs(net, word, text, slot, gram, begin, np.where(aside, 0, y))
     windows, owner_text = window_ids(ids, size)
     first = np.cumsum(np.bincount(owner_text, minlength=len(texts))) - np.bincount(owner_text, minlength=len(texts))
     adam = Adam(net, rate)
