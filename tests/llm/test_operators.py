@@ -72,19 +72,19 @@ def test_toxicity_learns():
     rng = np.random.default_rng(0)
     plain = lambda: [f"word{i}" for i in rng.integers(0, 300, 60)]
     texts, y = [], []
-    for i in range(240):
+    for i in range(800):
         w = plain()
         if i % 2:
             w[int(rng.integers(0, 60))] = "vile" + str(rng.integers(0, 9))
         texts.append(" ".join(w).encode())
         y.append(i % 2)
-    net = toxicity.train(texts[:160], np.array(y[:160], float), rounds=10)
-    table_words = [toxicity.split(t) for t in texts[160:]]
+    net = toxicity.train(texts[:640], np.array(y[:640], float), rounds=20)
+    table_words = [toxicity.split(t) for t in texts[640:]]
     number = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for ws in table_words for w in ws))}
     table = np.concatenate([np.zeros((1, 6 * toxicity.HIDDEN)), net.project(net.inputs(*toxicity.word_features(list(number))))]).astype(np.float32)
     ids, owner = toxicity.window_ids(np.array([number[w] for ws in table_words for w in ws]), np.array([len(w) for w in table_words]))
     best = np.maximum.reduceat(net.run(table, ids), np.flatnonzero(np.diff(owner, prepend=-1)))
-    assert ((net.probability(best) >= 0.7) == np.array(y[160:])).mean() > 0.9
+    assert ((net.probability(best) >= 0.7) == np.array(y[640:])).mean() > 0.9
 
 
 def test_simhash(docs, empty):
