@@ -147,7 +147,7 @@ UI_PHRASES = (
 )
 
 
-def strip_noise(col: Column, phrases: Sequence[str] = UI_PHRASES, max_chars: int | None = 5000) -> Column:
+def strip_noise(col: Column, phrases: Sequence[str] = UI_PHRASES, max_chars: int | None = None) -> Column:
     """Text without tags, URLs and interface phrases, one space between words."""
     plain = F.regexp_replace(F.regexp_replace(col, r"<[^>]+>", ""), r"https?://\S+", "")
     if phrases:

@@ -1,6 +1,6 @@
-"""Presence, co-occurrence and correlation of the most frequent terms.
+"""Co-occurrence of all terms; presence and correlation of the most frequent ones.
 
-The vocabulary has at most 62 terms, so a document's presence row is one 64-bit mask.
+The vocabulary of presence and correlation has at most 62 terms, so a document's presence row is one 64-bit mask.
 Equal masks are counted before pairs are formed: a document set with few distinct
 term sets collapses, and a mask yields at most 62*61/2 pairs whatever the data.
 """
@@ -39,9 +39,16 @@ def _mask_counts(links: DataFrame, doc: str, term: str, terms: DataFrame) -> Dat
     return bits.groupBy(doc).agg(F.bit_or("b").alias("mask")).groupBy("mask").agg(F.count(F.lit(1)).alias("docs"))
 
 
-def pair_counts(links: DataFrame, doc: str, term: str, n: int = 50) -> DataFrame:
-    """(term_a, term_b, together) for a before b in name order, and the counts of each term."""
-    return _pairs_of(links, doc, term, frequent_terms(links, term, n), n)
+def pair_counts(links: DataFrame, doc: str, term: str) -> DataFrame:
+    """(term_a, term_b, together) for every pair of terms that meet, a before b in name order.
+
+    Equal term lists are counted before their pairs are formed; a list is as long as one document's terms.
+    """
+    lists = links.groupBy(doc).agg(F.array_sort(F.collect_set(term)).alias("terms")) \
+        .groupBy("terms").agg(F.count(F.lit(1)).alias("docs"))
+    heads = lists.select("docs", "terms", F.posexplode("terms").alias("at", "term_a"))
+    pairs = heads.select("docs", "term_a", F.explode(F.slice("terms", F.col("at") + 2, F.size("terms"))).alias("term_b"))
+    return pairs.groupBy("term_a", "term_b").agg(F.sum("docs").alias("together"))
 
 
 def _pairs_of(links: DataFrame, doc: str, term: str, terms: DataFrame, n: int) -> DataFrame:

@@ -124,9 +124,11 @@ def skill_correlation(spark, d):
     return cooccurrence.correlation(named_links(spark, d), "offer_key", "skill_name", table(spark, d, "orders"), 50)
 
 
-@query("skill_cooccurrence", PRESENT + "SELECT term_a, term_b, together FROM c")
+@query("skill_cooccurrence", with_roles("links", extra="named AS (SELECT DISTINCT offer_key, skill_name FROM links)") + """
+SELECT a.skill_name AS term_a, b.skill_name AS term_b, count(*) AS together
+FROM named a JOIN named b ON a.offer_key = b.offer_key AND a.skill_name < b.skill_name GROUP BY 1, 2""")
 def skill_cooccurrence(spark, d):
-    return cooccurrence.pair_counts(named_links(spark, d), "offer_key", "skill_name", 50).select("term_a", "term_b", "together")
+    return cooccurrence.pair_counts(named_links(spark, d), "offer_key", "skill_name")
 
 
 @query("top_terms_per_row", tfidf_sql(WORD_LIST, 5, 0.8, 200) + """, k AS (SELECT doc_id, term, round(tfidf, 6) AS tfidf,

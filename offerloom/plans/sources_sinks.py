@@ -52,15 +52,15 @@ def scan_text_files(spark, d):
 @query("scan_table", with_roles("offers", "regions") + """
 SELECT offer_key, title, offers.region_name, latitude, longitude, contract_type, company_name, remote,
        strftime(added_at, '%Y-%m-%d') AS added_on
-FROM offers LEFT JOIN regions USING (region_key) ORDER BY offer_key LIMIT 500""")
+FROM offers LEFT JOIN regions USING (region_key)""")
 def scan_table(spark, d):
     fact = offers(spark, d).join(regions(spark, d).drop("region_name"), "region_key", "left")
-    return fact.orderBy("offer_key").limit(500).select(
+    return fact.select(
         "offer_key", "title", "region_name", "latitude", "longitude", "contract_type", "company_name", "remote",
         F.date_format("added_at", "yyyy-MM-dd").alias("added_on"))
 
 
-@query("sink_csv", "SELECT doc_id, substr(text, 1, 4000) AS description FROM documents")
+@query("sink_csv", "SELECT doc_id, text AS description FROM documents")
 def sink_csv(spark, d):
     path = scratch_path(spark, "csv-out")
     export = documents(spark, d).select("doc_id", F.col("text").alias("description"))
@@ -147,8 +147,8 @@ def html_to_text(spark, d):
 
 @query("extract_description", rf"""
 WITH t AS ({HTML_TEXT_SQL})
-SELECT page_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(page_text, '<[^>]+>', '', 'g'),
-       'https?://\S+', '', 'g'), '\s+', ' ', 'g')), 1, 5000) AS description FROM t""")
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(page_text, '<[^>]+>', '', 'g'),
+       'https?://\S+', '', 'g'), '\s+', ' ', 'g')) AS description FROM t""")
 def extract_description(spark, d):
     return pages.offers_from_pages(html_pages(spark, d)).select("page_id", "description")
 

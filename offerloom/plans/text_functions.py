@@ -121,9 +121,9 @@ def url_offer_id(spark, d):
     return keyed(spark, d, web.url_offer_id(url).alias("offer_id"))
 
 
-@query("strip_noise", r"""SELECT doc_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+@query("strip_noise", r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
   '<b>Postuler</b> ' || text || ' MON ESPACE https://x.example/a?b ', '<[^>]+>', '', 'g'), 'https?://\S+', '', 'g'),
-  '(?i)aller au contenu principal|postuler|lire dans l''app|mon espace|hellowork', '', 'g'), '\s+', ' ', 'g')), 1, 5000)
+  '(?i)aller au contenu principal|postuler|lire dans l''app|mon espace|hellowork', '', 'g'), '\s+', ' ', 'g'))
   AS description FROM documents""")
 def strip_noise(spark, d):
     noisy = F.concat(F.lit("<b>Postuler</b> "), F.col("text"), F.lit(" MON ESPACE https://x.example/a?b "))

@@ -42,8 +42,8 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
 
 
 def write_csv(df: DataFrame, path: str, description: str = "description",
-              max_chars: int | None = EXPORT_DESCRIPTION_CHARS) -> None:
-    """CSV export; the description column is cut as the export format asks."""
+              max_chars: int | None = None) -> None:
+    """CSV export; with ``max_chars`` (some exports use EXPORT_DESCRIPTION_CHARS) the description is cut."""
     if max_chars is not None and description in df.columns:
         df = df.withColumn(description, F.substring(F.col(description), 1, max_chars))
     df.write.mode("errorifexists").option("header", True).option("quote", '"').option("escape", '"') \
