@@ -52,8 +52,14 @@ def test_slug_and_accents(spark):
 def test_noise_keeps_text(spark):
     long = "mot " * 2000
     got = values(spark, text.strip_noise, ["<b>Postuler</b> ici https://a.b/c?d fin", long])
-    assert got[0] == "ici fin" and len(got[1]) == 5000
-    assert len(values(spark, lambda c: text.strip_noise(c, max_chars=None), [long])[0]) == 7999
+    assert got[0] == "ici fin" and len(got[1]) == 7999
+    assert len(values(spark, lambda c: text.strip_noise(c, max_chars=5000), [long])[0]) == 5000
+
+
+def test_page_reader():
+    from offerloom.sources.pages import _read_page
+    assert _read_page("<h1>A</h1><p>x</p><h1>B</h1>")[0] == "A"
+    assert len(_read_page("<div>x" * 100_000)[2]) == 199_999
 
 
 def test_skill_text(spark):
