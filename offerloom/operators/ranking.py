@@ -31,7 +31,7 @@ def dominant_value(df: DataFrame, group: str, value: str) -> DataFrame:
     counts = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group, value) \
         .agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy(group).agg(
-        F.max_by(value, F.struct(F.col("n"), (-F.col(value)).alias("v"))).alias(value),
+        F.min_by(value, F.struct((-F.col("n")).alias("n"), F.col(value).alias("v"))).alias(value),
         F.max("n").alias("n"), F.sum("n").alias("group_size")) \
         .withColumn("pct", F.round(100.0 * F.col("n") / F.col("group_size"), 6))
 

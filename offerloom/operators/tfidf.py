@@ -24,7 +24,6 @@ from offerloom.functions.text import each
 from offerloom.operators.ranking import top_per_group
 
 MAX_DRIVER_FEATURES = 10_000
-MAX_BROADCAST_ROWS = 500_000
 
 
 def _term_statistics(docs: DataFrame, tokens: str, group: str | None) -> DataFrame:
@@ -39,17 +38,6 @@ def _term_statistics(docs: DataFrame, tokens: str, group: str | None) -> DataFra
         F.sum("x.cf").alias("cf"), F.sum("x.df").alias("df"))
 
 
-def _bounded(side: DataFrame, docs: DataFrame, group: str, rows_per_group: int) -> DataFrame:
-    """A per-group table marked for broadcast if the counted groups keep it small.
-
-    With more groups than that it stays a plain join, which Spark shuffles and splits
-    where it is skewed.
-    """
-    most = MAX_BROADCAST_ROWS // rows_per_group
-    groups = docs.select(group).distinct().limit(most + 1).count()
-    return F.broadcast(side) if groups <= most else side
-
-
 def group_sizes(docs: DataFrame, group: str) -> DataFrame:
     return docs.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"))
 
@@ -60,7 +48,7 @@ def vocabulary(docs: DataFrame, tokens: str, *, group: str | None = None, min_df
     stats = _term_statistics(docs, tokens, group)
     if group:
         sizes = group_sizes(docs, group).where(F.col("n") >= min_docs)
-        stats = stats.join(_bounded(sizes, docs, group, 1), group)
+        stats = stats.join(sizes, group)
     else:
         stats = stats.withColumn("n", docs.agg(F.count(F.lit(1))).scalar())
     kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.col("n") * F.lit(max_df)))
@@ -75,9 +63,11 @@ def grouped_tfidf(docs: DataFrame, id_col: str, tokens: str, group: str, *, min_
     """(group, id, term, tfidf), every group with its own vocabulary and document frequencies."""
     vocab = vocabulary(docs, tokens, group=group, min_df=min_df, max_df=max_df, max_features=max_features,
                        min_docs=min_docs)
-    hits = docs.select(group, id_col, each(F.col(tokens)).alias("term")) \
-        .join(_bounded(vocab.select(group, "term", "idf"), docs, group, max_features), [group, "term"])
-    weights = hits.groupBy(group, id_col, "term").agg((F.count(F.lit(1)) * F.max("idf")).alias("w"))
+    # a document's terms are counted inside its map task; what meets the vocabulary is one row per document and term
+    counts = docs.select(group, id_col, each(F.col(tokens)).alias("term")).groupBy(group, id_col, "term") \
+        .agg(F.count(F.lit(1)).alias("tf"))
+    weights = counts.join(vocab.select(group, "term", "idf"), [group, "term"]) \
+        .select(group, id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(group, id_col)))
     return weights.withColumn("tfidf", F.col("w") / norm).drop("w")
 

@@ -13,22 +13,23 @@ from offerloom.functions.text import split_list
 from offerloom.operators.ranking import keep_first
 from offerloom.session import materialize
 
-KEY_BUCKETS_HEX = 3  # 16^3 = 4096 buckets
+KEY_DIGITS = 4  # hex digits of a bucket: at most 65,536 buckets
 
 
-def numbered(df: DataFrame, name: str, key: str, start: Column | int = 0) -> DataFrame:
+def numbered(df: DataFrame, name: str, key: str, start: Column | int = 0, digits: int = KEY_DIGITS) -> DataFrame:
     """Dense surrogate keys 1..n for distinct names, without a single-task window.
 
-    Names are numbered inside md5 buckets (evenly filled, whatever the names are) and
-    shifted by the sizes of the preceding buckets: 4096 rows at most.
+    Names lie in the order of their md5, which fills the buckets (prefixes of it) evenly whatever the names are.
+    They are numbered inside the buckets and shifted by the sizes of the preceding ones, so that the keys do
+    not depend on ``digits``; the broadcast sizes have one row per bucket, 65,536 at most.
     """
-    bucketed = df.withColumn("__b", F.substring(F.md5(F.col(name).cast("string")), 1, KEY_BUCKETS_HEX))
-    local = bucketed.withColumn("__i", F.row_number().over(W.partitionBy("__b").orderBy(name)))
-    sizes = bucketed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    hashed = df.withColumn("__h", F.md5(F.col(name).cast("string"))).withColumn("__b", F.substring("__h", 1, digits))
+    local = hashed.withColumn("__i", F.row_number().over(W.partitionBy("__b").orderBy("__h", name)))
+    sizes = hashed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select("__b", (F.sum("__n").over(W.orderBy("__b")) - F.col("__n")).alias("__o"))
     base = start if isinstance(start, Column) else F.lit(start)
     return local.join(F.broadcast(offsets), "__b").withColumn(key, (base + F.col("__o") + F.col("__i")).cast("bigint")) \
-        .drop("__b", "__i", "__o")
+        .drop("__h", "__b", "__i", "__o")
 
 
 def distinct_names(df: DataFrame, source: str, name: str) -> DataFrame:
@@ -81,21 +82,38 @@ def build_dim_date(df: DataFrame, ts: str) -> DataFrame:
     return days.withColumns(date_attributes(F.col("full_date")))
 
 
-def build_fact(offers: DataFrame, dims: Mapping[str, DataFrame], seq: str) -> DataFrame:
+def offer_keys(attributes: DataFrame, seq: str) -> DataFrame:
+    """(uid, seq, offer_key): the first row of every uid and its key. Rows without a uid are no offers.
+
+    Copies of one uid combine to their minimum before the shuffle.
+    """
+    first = attributes.where(F.col("uid").isNotNull()).groupBy("uid").agg(F.min(seq).alias(seq))
+    return numbered(first, "uid", "offer_key")
+
+
+def looked_up(rows: DataFrame, dim: DataFrame, column: str, name: str, key: str) -> DataFrame:
+    """Adds the surrogate key of a name. Rows without the name match nothing and are spread by their uid."""
+    names = dim.select(F.col(name).alias("__name"), key)
+    dealt = F.coalesce(F.col(column), F.concat(F.lit("-"), F.col("uid")))
+    return rows.join(names, (dealt == F.col("__name")) & F.col(column).isNotNull(), "left").drop("__name")
+
+
+def build_fact(offers: DataFrame, attributes: DataFrame, keys: DataFrame, dims: Mapping[str, DataFrame],
+               seq: str) -> DataFrame:
     """Fact rows: first offer per uid, surrogate keys looked up, the three skill counts.
 
-    Pass dimensions read back from storage: their real size then decides between
-    broadcast and shuffle.
+    Rows are chosen and dimensions looked up on the narrow ``attributes`` (uid, seq and the names); the wide offers,
+    in which ``seq`` is unique, meet the result once. Pass tables read back from storage: their real size then
+    decides between broadcast and shuffle.
     """
-    # Numbered before the lookups: the bucket sizes then need the uids only.
-    fact = numbered(keep_first(offers.drop("offer_key"), ["uid"], [F.col(seq)]), "uid", "offer_key")
-    lookups = (("dim_source", "source", "source_name", "source_key"),
-               ("dim_region", "region", "region_name", "region_key"),
-               ("dim_company", "company", "company_name", "company_key"),
-               ("dim_contract", "contract_type", "contract_type", "contract_key"))
-    for table, column, name, key in lookups:
-        dim = dims[table].select(F.col(name).alias(column), key)
-        fact = fact.join(dim, column, "left")
+    chosen = attributes.select("uid", seq, "source", "region", "company", "contract_type").join(keys, ["uid", seq])
+    for table, column, name, key in (("dim_source", "source", "source_name", "source_key"),
+                                     ("dim_region", "region", "region_name", "region_key"),
+                                     ("dim_company", "company", "company_name", "company_key"),
+                                     ("dim_contract", "contract_type", "contract_type", "contract_key")):
+        chosen = looked_up(chosen, dims[table], column, name, key)
+    resolved = chosen.select("uid", seq, "offer_key", "source_key", "region_key", "company_key", "contract_key")
+    fact = offers.join(resolved, ["uid", seq])
 
     def size(col: str) -> Column:
         return F.coalesce(F.size(col), F.lit(0))
@@ -110,31 +128,44 @@ def build_fact(offers: DataFrame, dims: Mapping[str, DataFrame], seq: str) -> Da
         F.lit("import").alias("added_by"))
 
 
-def build_bridge(offers: DataFrame, fact: DataFrame, dim_skill: DataFrame) -> DataFrame:
-    """Distinct (offer_key, skill_key) pairs over all rows of an offer."""
+def build_bridge(attributes: DataFrame, keys: DataFrame, dim_skill: DataFrame) -> DataFrame:
+    """Distinct (offer_key, skill_key) pairs over all rows of an offer; the names of copies merge before the joins."""
     empty = F.array().cast("array<string>")
     names = F.concat(F.coalesce("competences", empty), F.coalesce("savoir_etre", empty))
-    named = offers.select("uid", F.explode(F.array_distinct(names)).alias("skill_name"))
+    named = attributes.select("uid", F.explode(F.array_distinct(names)).alias("skill_name")).distinct()
     return (named.join(dim_skill.select("skill_name", "skill_key"), "skill_name")
-            .join(fact.select("uid", "offer_key"), "uid").select("offer_key", "skill_key").distinct())
+            .join(keys.select("uid", "offer_key"), "uid").select("offer_key", "skill_key"))
 
 
 def get_or_create(dim: DataFrame, incoming: DataFrame, name: str, key: str,
                   defaults: Mapping[str, Column] | None = None) -> DataFrame:
     """The dimension with a new key for every incoming name it lacks."""
+    return dim.unionByName(created(dim, incoming, name, key, defaults))
+
+
+def created(dim: DataFrame, incoming: DataFrame, name: str, key: str,
+            defaults: Mapping[str, Column] | None = None) -> DataFrame:
+    """The rows that the dimension lacks, numbered behind its own."""
     fresh = incoming.where(F.col(name).isNotNull()).select(name).distinct().join(dim.select(name), name, "left_anti")
     start = F.coalesce(dim.agg(F.max(key)).scalar(), F.lit(0))
     keyed = numbered(fresh, name, key, start)
     for column, value in (defaults or {}).items():
         keyed = keyed.withColumn(column, value)
-    return dim.unionByName(keyed.select(*dim.columns))
+    return keyed.select(*dim.columns)
+
+
+SKILL_DEFAULTS = {"skill_type": "competences", "skill_category": "technique"}
+
+
+def named_skills(offers: DataFrame, key: str, joined: str) -> DataFrame:
+    """(key, skill_name) from comma-separated skill text, distinct within an offer."""
+    return offers.select(key, F.explode(F.array_distinct(split_list(F.col(joined)))).alias("skill_name"))
 
 
 def link_skills(offers: DataFrame, dim_skill: DataFrame, key: str, joined: str) -> tuple[DataFrame, DataFrame]:
     """(skill dimension with created skills, distinct links) from comma-separated skill text."""
-    named = offers.select(key, F.explode(F.array_distinct(split_list(F.col(joined)))).alias("skill_name"))
-    dim = get_or_create(dim_skill, named, "skill_name", "skill_key",
-                        {"skill_type": F.lit("competences"), "skill_category": F.lit("technique")})
+    named = named_skills(offers, key, joined)
+    dim = get_or_create(dim_skill, named, "skill_name", "skill_key", {k: F.lit(v) for k, v in SKILL_DEFAULTS.items()})
     return dim, named.join(dim.select("skill_name", "skill_key"), "skill_name").select(key, "skill_key").distinct()
 
 
@@ -178,11 +209,16 @@ def new_offers(incoming: DataFrame, existing: DataFrame, seq: str) -> DataFrame:
 
 
 def upsert(tables: Mapping[str, DataFrame], incoming: DataFrame, seq: str, now: Column) -> dict[str, DataFrame]:
-    """New version of all tables after a batch of contributed offers.
+    """All tables after a batch of contributed offers."""
+    return {name: tables[name].unionByName(rows) for name, rows in upsert_rows(tables, incoming, seq, now).items()}
+
+
+def upsert_rows(tables: Mapping[str, DataFrame], incoming: DataFrame, seq: str, now: Column) -> dict[str, DataFrame]:
+    """The rows that a batch of contributed offers adds to each table.
 
     Needs dim_source, dim_region, dim_company, dim_contract, dim_skill, fact_offers and
-    fact_offer_skill; the caller writes the result as one snapshot, which makes the
-    batch all-or-nothing.  The new offers feed every table, so they are checkpointed.
+    fact_offer_skill; the caller appends the result as one snapshot, which makes the
+    batch all-or-nothing.  The new offers and names feed several tables, so they are checkpointed.
     """
     fresh = new_offers(incoming, tables["fact_offers"], seq).select(
         "*", F.coalesce("source", F.lit("manual")).alias("source_name"),
@@ -191,18 +227,21 @@ def upsert(tables: Mapping[str, DataFrame], incoming: DataFrame, seq: str, now:
         F.coalesce("contract_type", F.lit("Unknown")).alias("__contract"))
     start = F.coalesce(tables["fact_offers"].agg(F.max("offer_key")).scalar(), F.lit(0))
     keyed = materialize(numbered(fresh, "uid", "offer_key", start))
-    dims = {
-        "dim_source": get_or_create(tables["dim_source"], keyed, "source_name", "source_key",
-                                    {"source_type": F.lit("manual")}),
-        "dim_region": get_or_create(tables["dim_region"], keyed.select(F.col("__region").alias("region_name")),
-                                    "region_name", "region_key",
-                                    {"latitude": F.lit(0.0), "longitude": F.lit(0.0)}),
-        "dim_company": get_or_create(tables["dim_company"], keyed.select(F.col("__company").alias("company_name")),
-                                     "company_name", "company_key"),
-        "dim_contract": get_or_create(tables["dim_contract"], keyed.select(F.col("__contract").alias("contract_type")),
-                                      "contract_type", "contract_key"),
-    }
-    dim_skill, links = link_skills(keyed, tables["dim_skill"], "offer_key", "all_skills")
+    added, dims = {}, {}
+
+    def grow(table: str, names: DataFrame, name: str, key: str, defaults: Mapping[str, Column] | None = None) -> None:
+        added[table] = materialize(created(tables[table], names, name, key, defaults))
+        dims[table] = tables[table].unionByName(added[table])
+
+    grow("dim_source", keyed, "source_name", "source_key", {"source_type": F.lit("manual")})
+    grow("dim_region", keyed.select(F.col("__region").alias("region_name")), "region_name", "region_key",
+         {"latitude": F.lit(0.0), "longitude": F.lit(0.0)})
+    grow("dim_company", keyed.select(F.col("__company").alias("company_name")), "company_name", "company_key")
+    grow("dim_contract", keyed.select(F.col("__contract").alias("contract_type")), "contract_type", "contract_key")
+    named = named_skills(keyed, "offer_key", "all_skills")
+    grow("dim_skill", named, "skill_name", "skill_key", {k: F.lit(v) for k, v in SKILL_DEFAULTS.items()})
+    links = named.join(dims["dim_skill"].select("skill_name", "skill_key"), "skill_name") \
+        .select("offer_key", "skill_key").distinct()
     counts = links.groupBy("offer_key").agg(F.count(F.lit(1)).cast("int").alias("skills_count"))
     rows = keyed.drop("skills_count").join(counts, "offer_key", "left") \
         .join(dims["dim_source"].select("source_name", "source_key"), "source_name", "left") \
@@ -220,6 +259,4 @@ def upsert(tables: Mapping[str, DataFrame], incoming: DataFrame, seq: str, now:
         F.coalesce("skills_count", F.lit(0)).alias("skills_count"),
         F.coalesce("skills_count", F.lit(0)).alias("competences_count"),
         F.lit(0).alias("savoir_etre_count"), F.lit("contribution").alias("added_by"))
-    return {**dims, "dim_skill": dim_skill,
-            "fact_offers": tables["fact_offers"].unionByName(fact_rows),
-            "fact_offer_skill": tables["fact_offer_skill"].unionByName(links)}
+    return {**added, "fact_offers": fact_rows, "fact_offer_skill": links}

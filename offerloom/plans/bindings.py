@@ -209,6 +209,17 @@ def located_links(spark: SparkSession, d: str) -> DataFrame:
     return links(spark, d).join(attributes, "offer_key")
 
 
+def region_skill_counts(spark: SparkSession, d: str) -> DataFrame:
+    """(region_name, skill_name, n): offers that ask for a skill by region. Links are counted by company and skill key,
+    regions and names come to the counts."""
+    company = table(spark, d, "orders").select(F.col("o_orderkey").alias("offer_key"), F.col("o_custkey").alias("company_key"))
+    counts = bridge(spark, d).join(company, "offer_key").groupBy("company_key", "skill_key").agg(F.count(F.lit(1)).alias("n"))
+    placed = counts.join(companies(spark, d).select("company_key", "region_name"), "company_key") \
+        .groupBy("region_name", "skill_key").agg(F.sum("n").alias("n"))
+    return placed.join(skills(spark, d).select("skill_key", "skill_name"), "skill_key") \
+        .groupBy("region_name", "skill_name").agg(F.sum("n").alias("n"))
+
+
 def documents(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "documents"), "doc_id")
 

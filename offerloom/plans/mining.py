@@ -217,7 +217,8 @@ def pca_2d(spark, d):
 @query("cluster_assignments")
 def cluster_assignments(spark, d):
     rows = projected(spark, d).transform(clustered(spark, d)).select("doc_id", "cluster_id", "coord_x", "coord_y")
-    return rows.join(models.cluster_sizes(rows), "cluster_id")
+    # one row per cluster
+    return rows.join(F.broadcast(models.cluster_sizes(rows)), "cluster_id")
 
 
 @query("hierarchical_clusters")

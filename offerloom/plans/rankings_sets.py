@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from offerloom.functions.text import tokenize, words
 from offerloom.operators import ranking, sets
 from offerloom.operators.tfidf import group_terms
-from offerloom.plans.bindings import documents, located_links, offers, table, with_roles
+from offerloom.plans.bindings import documents, offers, region_skill_counts, table, with_roles
 from offerloom.plans.projections import UNIFIED_A, UNIFIED_B, raw_a, raw_b
 from offerloom.plans.registry import query
 from offerloom.plans.unify import unify_all
@@ -18,8 +18,7 @@ from offerloom.plans.unify import unify_all
 r AS (SELECT *, row_number() OVER (PARTITION BY region_name ORDER BY n DESC, skill_name) AS k FROM c)
 SELECT region_name, skill_name, n FROM r WHERE k <= 10""")
 def top_skills_per_group(spark, d):
-    counts = located_links(spark, d).where(F.col("region_name").isNotNull()).groupBy("region_name", "skill_name") \
-        .agg(F.count(F.lit(1)).alias("n"))
+    counts = region_skill_counts(spark, d).where(F.col("region_name").isNotNull())
     return ranking.top_per_group(counts, ["region_name"], [F.desc("n"), F.asc("skill_name")], 10)
 
 

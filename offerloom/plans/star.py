@@ -12,7 +12,7 @@ from offerloom.plans.bindings import (COMPANIES, CONTRACTS, DATES, REGIONS, brid
 from offerloom.plans.projections import contract_sql
 from offerloom.plans.registry import query
 from offerloom.session import scratch_path
-from offerloom.sources.snapshots import read_snapshot, write_snapshot
+from offerloom.sources.snapshots import append_snapshot, read_tables, write_all, write_snapshot
 
 K = "doc_id"
 REGION_OF = (0, 1, None, 3, 4, 2, 5)
@@ -35,7 +35,7 @@ def _cases(key, values):
 
 def num(name: str) -> str:
     """SQL twin of the surrogate numbering."""
-    return f"row_number() OVER (ORDER BY substr(md5({name}), 1, 3), {name})"
+    return f"row_number() OVER (ORDER BY md5({name}), {name})"
 
 
 def harmonised(spark, d):
@@ -111,28 +111,33 @@ FACT_COLUMNS = ("offer_key", "uid", "offer_id", "source_key", "region_key", "com
 def stored(spark, label, tables):
     """Tables written and read back, so that the joins on them know their real size."""
     root = scratch_path(spark, label)
-    write_snapshot(spark, root, tables)
-    return {name: read_snapshot(spark, root, name) for name in tables}
+    write_all({name: (df, f"{root}/{name}") for name, df in tables.items()})
+    return {name: spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in tables.items()}
+
+
+NARROW = ("uid", "seq", "source", "region", "region_lat", "region_lon", "company", "contract_type", "competences", "savoir_etre")
 
 
 def loaded(spark, d):
-    """Load order of the warehouse: dimensions first, then the fact that refers to them."""
+    """Load order of the warehouse: the narrow columns once, keys and dimensions from them, then the fact."""
     rows = harmonised(spark, d)
-    dims = stored(spark, "dimensions", wh.build_dimensions(rows))
-    return rows, dims, wh.build_fact(rows, dims, "seq")
+    narrow = stored(spark, "attributes", {"attributes": rows.select(*NARROW)})["attributes"]
+    tables = stored(spark, "dimensions", {**wh.build_dimensions(narrow), "dim_skill": wh.build_dim_skill(narrow),
+                                          "keys": wh.offer_keys(narrow, "seq")})
+    return rows, narrow, tables
 
 
 @query("build_fact", f"WITH {H}, {DIMS}, {FACT} SELECT {', '.join(FACT_COLUMNS)} FROM f")
 def build_fact(spark, d):
-    return loaded(spark, d)[2].select(*FACT_COLUMNS)
+    rows, narrow, tables = loaded(spark, d)
+    return wh.build_fact(rows, narrow, tables["keys"], tables, "seq").select(*FACT_COLUMNS)
 
 
 @query("build_bridge", f"""WITH {H}, {DIMS}, {FACT}, n AS (SELECT uid, unnest(list_concat(competences, savoir_etre)) AS skill_name FROM h)
 SELECT DISTINCT offer_key, skill_key FROM n JOIN dk USING (skill_name) JOIN f USING (uid)""")
 def build_bridge(spark, d):
-    rows, _, fact = loaded(spark, d)
-    dim_skill = stored(spark, "skills", {"dim_skill": wh.build_dim_skill(rows)})["dim_skill"]
-    return wh.build_bridge(rows, fact, dim_skill)
+    _, narrow, tables = loaded(spark, d)
+    return wh.build_bridge(narrow, tables["keys"], tables["dim_skill"])
 
 
 @query("get_or_create_dim", f"""WITH m AS (SELECT max(r_regionkey) AS k FROM region),
@@ -152,10 +157,10 @@ ALL_SKILLS = ("Python, SQL", " SQL ,Nouveau ,", None, "Kafka,Kafka, SQL", "")
 
 def warehouse(spark, d):
     """All tables of the bulk load."""
-    rows, dims, fact = loaded(spark, d)
-    dim_skill = wh.build_dim_skill(rows)
-    return {**dims, "dim_skill": dim_skill, "fact_offers": fact,
-            "fact_offer_skill": wh.build_bridge(rows, fact, dim_skill)}
+    rows, narrow, tables = loaded(spark, d)
+    dims = {name: df for name, df in tables.items() if name.startswith("dim_")}
+    return {**dims, "fact_offers": wh.build_fact(rows, narrow, tables["keys"], dims, "seq"),
+            "fact_offer_skill": wh.build_bridge(narrow, tables["keys"], dims["dim_skill"])}
 
 
 def contributed(spark, d):
@@ -178,19 +183,21 @@ SELECT 'duplicates' AS measure, (SELECT count(*) FROM c) - (SELECT count(*) FROM
 UNION ALL SELECT 'inserted', count(*) FROM n
 UNION ALL SELECT 'links', count(*) FROM l
 UNION ALL SELECT 'new_contracts', (SELECT count(DISTINCT contract_type) FROM n)
-UNION ALL SELECT 'offers', (SELECT count(*) FROM e) + (SELECT count(*) FROM n)
+UNION ALL SELECT 'offers', (SELECT count(DISTINCT md5(text)) FROM documents) + (SELECT count(*) FROM e) + (SELECT count(*) FROM n)
 UNION ALL SELECT 'skills', (SELECT count(DISTINCT skill) FROM l)""")
 def upsert_offers(spark, d):
-    """Two contributed batches as two snapshots: the English documents, then all documents."""
+    """Two contributed batches onto the bulk-loaded warehouse, each appended as one snapshot: the English documents,
+    then all documents."""
     root = scratch_path(spark, "warehouse")
     base = warehouse(spark, d)
-    empty = {name: spark.createDataFrame([], df.schema) for name, df in base.items()}
     now = F.lit("2024-06-01 12:00:00").cast("timestamp")
     batch = contributed(spark, d)
-    write_snapshot(spark, root, wh.upsert(empty, batch.where(F.col("company_name") == "en"), "seq", now))
-    before = {name: read_snapshot(spark, root, name) for name in base}
-    write_snapshot(spark, root, wh.upsert(before, batch, "seq", now))
-    after = {name: read_snapshot(spark, root, name) for name in base}
+
+    write_snapshot(spark, root, base)
+    append_snapshot(spark, root, wh.upsert_rows(read_tables(spark, root), batch.where(F.col("company_name") == "en"), "seq", now))
+    before = read_tables(spark, root)
+    append_snapshot(spark, root, wh.upsert_rows(before, batch, "seq", now))
+    after = read_tables(spark, root)
     fresh = after["fact_offers"].join(before["fact_offers"].select("offer_key"), "offer_key", "left_anti")
     fresh_links = after["fact_offer_skill"].join(fresh.select("offer_key"), "offer_key", "left_semi")
 

@@ -19,17 +19,15 @@ def stream_of(spark, d, name):
 @query("stream_window_counts", """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n
 FROM events GROUP BY ALL""")
 def stream_window_counts(spark, d):
-    """Daily counts per event type from a file stream; equals the batch result."""
+    """Daily counts per event type from a file stream. The watermark follows the events' own time and bounds the state;
+    each batch writes the windows it changed, and the newest value of a window counts."""
     target = scratch_path(spark, "stream-counts")
     events = stream_of(spark, d, "events")
-    windows = counts.window_counts(events.select("ts", "event_type"), "ts", "event_type", "1 day")
-
-    def replace(batch, _):
-        batch.write.mode("overwrite").parquet(target + "/result")
-
-    ingest.run_to_end(windows, replace, target + "/checkpoint", mode="complete")
-    return spark.read.parquet(target + "/result").select(
-        stamp(F.col("window_start")).alias("window_start"), "event_type", "n")
+    windows = counts.window_counts(events.select("ts", "event_type"), "ts", "event_type", "1 day", watermark="7 days")
+    ingest.run_to_end(windows, ingest.append_batches(target + "/windows"), target + "/checkpoint", mode="update")
+    newest = ingest.latest(spark, target + "/windows", ["window_start", "event_type"], "n",
+                           "window_start timestamp, event_type string, n bigint")
+    return newest.select(stamp(F.col("window_start")).alias("window_start"), "event_type", "n")
 
 
 @query("batch_window_counts", """SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type,
@@ -41,11 +39,12 @@ def batch_window_counts(spark, d):
 
 @query("stream_ingest_dedup", "SELECT DISTINCT md5(text) AS uid FROM documents")
 def stream_ingest_dedup(spark, d):
-    """Documents as a stream of contributed offers: repeats of a uid are dropped on the way in."""
+    """Documents as a stream of contributed offers, one a minute: repeats of a uid within a day are dropped by the
+    stream, later ones when a batch is added to what is stored."""
     target = scratch_path(spark, "stream-ingest")
     stream = stream_of(spark, d, "documents")
     offers = stream.select(F.md5("text").alias("uid"), "doc_id", "source",
-                           F.timestamp_seconds(F.lit(1_700_000_000)).alias("received_at"))
+                           F.timestamp_seconds(F.lit(1_700_000_000) + 60 * F.col("doc_id")).alias("received_at"))
     fresh = ingest.first_seen(offers, "uid", "received_at", "1 day")
-    ingest.run_to_end(fresh, ingest.append_batches(target + "/offers"), target + "/checkpoint")
+    ingest.run_to_end(fresh, ingest.append_new(target + "/offers", "uid"), target + "/checkpoint")
     return spark.read.parquet(target + "/offers").select("uid")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from offerloom.operators.warehouse import upsert
-from offerloom.sources.snapshots import read_snapshot, write_snapshot
+from offerloom.operators.warehouse import upsert_rows
+from offerloom.sources.snapshots import append_snapshot, read_tables
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -40,13 +41,34 @@ def append_batches(target: str) -> Callable[[DataFrame, int], None]:
     return handle
 
 
+def append_new(target: str, key: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer that adds the rows whose key no earlier batch has written; a repeated batch overwrites its folder.
+
+    The stream's own state ends at the watermark; this keeps keys unique for good.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        schema = f"`{key}` {batch.schema[key].dataType.simpleString()}, batch bigint"
+        spark.createDataFrame([], batch.schema).write.mode("append").parquet(f"{target}/batch=-1")
+        known = spark.read.schema(schema).parquet(target).where(F.col("batch") < batch_id).select(key)
+        batch.join(known, key, "left_anti").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+    return handle
+
+
+def latest(spark: SparkSession, target: str, keys: Sequence[str], value: str, schema: str) -> DataFrame:
+    """The value that the newest batch wrote for each key, from batches of updated rows."""
+    rows = spark.read.schema(f"{schema}, batch bigint").parquet(target)
+    return rows.groupBy(*keys).agg(F.max_by(value, "batch").alias(value))
+
+
 def upsert_batches(root: str, tables: Sequence[str], seq: str, now: Column) -> Callable[[DataFrame, int], None]:
-    """Batch writer that turns each batch of contributed offers into a new warehouse snapshot.
+    """Batch writer that appends the new rows of each batch of contributed offers as a warehouse snapshot.
 
     A repeated batch finds its uids present and adds nothing.
     """
     def handle(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        current = {name: read_snapshot(spark, root, name) for name in tables}
-        write_snapshot(spark, root, upsert(current, batch, seq, now))
+        version = read_tables(spark, root)
+        current = {name: version[name] for name in tables}
+        append_snapshot(spark, root, upsert_rows(current, batch, seq, now))
     return handle
