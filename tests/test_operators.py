@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from offerloom.functions.text import normalize_skill_text
@@ -12,9 +13,10 @@ from offerloom.operators import aggregates, cooccurrence, models, ranking, searc
 from offerloom.operators.tfidf import fit_tfidf, regional_terms
 from offerloom.plans.unify import unify_all, unify_b
 from offerloom.session import scratch_path
-from offerloom.sources import files, pages
-from offerloom.sources.snapshots import current_version, read_snapshot, write_snapshot
+from offerloom.sources import files, pages, snapshots
+from offerloom.sources.snapshots import append_snapshot, current_version, read_snapshot, write_snapshot
 from offerloom.streaming import ingest
+from offerloom.streaming.counts import window_counts
 
 ENTRIES = [sk.Entry("Azure Databricks", "competences", "cloud"), sk.Entry("Azure", "competences", "cloud"),
            sk.Entry("C++", "competences", "langages"), sk.Entry("C#", "competences", "langages"),
@@ -74,6 +76,51 @@ def test_surrogate_keys_are_dense(spark):
     df = spark.range(5000).select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
     keys = sorted(r["k"] for r in wh.numbered(df, "name", "k", 10).collect())
     assert keys == list(range(11, 5011))
+    few, many = ({r["name"]: r["k"] for r in wh.numbered(df, "name", "k", digits=n).collect()} for n in (1, 4))
+    assert few == many
+
+
+def test_fact_takes_the_first_copy_and_keeps_offers_without_names(spark):
+    offers = spark.createDataFrame(
+        [("u", 2, "late", "s", None, "Acme"), ("u", 1, "first", "s", None, None), ("v", 3, "other", None, "R", "Acme"), (None, 4, "lost", "s", "R", "Acme")],
+        "uid string, seq long, title string, source string, region string, company string").select(
+        "*", F.lit("CDI").alias("contract_type"), F.array(F.lit("SQL"), F.lit("SQL")).alias("competences"),
+        F.lit(None).cast("array<string>").alias("savoir_etre"), F.lit(1.0).alias("region_lat"), F.lit(2.0).alias("region_lon"),
+        *[F.lit(None).cast("string").alias(c) for c in ("offer_id", "source_url", "location", "salary", "remote", "published_date", "description")])
+    keys, dims, skills = wh.offer_keys(offers, "seq"), wh.build_dimensions(offers), wh.build_dim_skill(offers)
+    fact = {r["uid"]: r for r in wh.build_fact(offers, offers, keys, dims, "seq").collect()}
+    assert set(fact) == {"u", "v"} and fact["u"]["title"] == "first" and fact["u"]["company_key"] is None
+    assert fact["v"]["company_key"] == 1 and fact["v"]["source_key"] is None and fact["u"]["skills_count"] == 2
+    assert wh.build_bridge(offers, keys, skills).count() == 2
+
+
+def test_dominant_text_value(spark):
+    df = spark.createDataFrame([("g", "b"), ("g", "a"), ("g", None), ("h", "z")], "g string, v string")
+    assert {r["g"]: (r["v"], r["n"]) for r in ranking.dominant_value(df, "g", "v").collect()} == {"g": ("a", 1), "h": ("z", 1)}
+
+
+def test_appending_writes_the_new_rows_only(spark):
+    root = scratch_path(spark, "test-append")
+    write_snapshot(spark, root, {"t": spark.range(100), "u": spark.range(1)})
+    append_snapshot(spark, root, {"t": spark.range(100, 103)})
+    version, folders = current_version(spark, root)
+    assert version == 2 and len(folders["t"]) == 2 and len(folders["u"]) == 1
+    assert spark.read.parquet(f"{root}/{folders['t'][1]}").count() == 3
+    assert read_snapshot(spark, root, "t").count() == 103 and read_snapshot(spark, root, "u").count() == 1
+    write_snapshot(spark, root, {"t": spark.range(5)})
+    assert read_snapshot(spark, root, "t").count() == 5
+
+
+def test_a_second_writer_of_a_version_fails(spark, monkeypatch):
+    root = scratch_path(spark, "test-conflict")
+    write_snapshot(spark, root, {"t": spark.range(3)})
+    seen = current_version(spark, root)
+    append_snapshot(spark, root, {"t": spark.range(3, 4)})
+    monkeypatch.setattr(snapshots, "current_version", lambda *_: seen)
+    with pytest.raises(AnalysisException):
+        append_snapshot(spark, root, {"t": spark.range(4, 9)})
+    monkeypatch.undo()
+    assert read_snapshot(spark, root, "t").count() == 4
 
 
 def test_unify_accepts_missing_columns_and_sources(spark):
@@ -248,6 +295,32 @@ def test_stream_drops_repeats_across_restarts(spark):
     assert run() == ["a", "b", "c"]
 
 
+def test_late_events_are_dropped_and_windows_updated(spark):
+    source, target = scratch_path(spark, "test-late-in"), scratch_path(spark, "test-late-out")
+    schema = "window_start timestamp, event_type string, n bigint"
+
+    def arrive(*days):
+        spark.createDataFrame([(f"2024-01-{d:02d} 10:00:00",) for d in days], "t string").select(
+            F.to_timestamp("t").alias("ts"), F.lit("a").alias("event_type")).coalesce(1).write.mode("append").parquet(source)
+        stream = ingest.read_stream(spark, source, spark.read.parquet(source).schema)
+        windows = window_counts(stream, "ts", "event_type", "1 day", watermark="2 days")
+        ingest.run_to_end(windows, ingest.append_batches(target + "/rows"), target + "/checkpoint", mode="update")
+        rows = ingest.latest(spark, target + "/rows", ["window_start", "event_type"], "n", schema).collect()
+        return {r["window_start"].day: r["n"] for r in rows}
+
+    assert arrive(1, 1, 20) == {1: 2, 20: 1}
+    assert arrive(19, 20, 1) == {1: 2, 19: 1, 20: 2}  # the first of January is behind the watermark
+
+
+def test_stored_keys_stay_unique_beyond_the_watermark(spark):
+    target = scratch_path(spark, "test-append-new")
+    handle = ingest.append_new(target, "uid")
+    frame = lambda *uids: spark.createDataFrame([(u,) for u in uids], "uid string")
+    for number, uids in ((0, ("a", "b")), (1, ("b", "c")), (1, ("b", "c"))):
+        handle(frame(*uids), number)
+    assert sorted(r["uid"] for r in spark.read.parquet(target).collect()) == ["a", "b", "c"]
+
+
 def test_streamed_upsert_equals_one_batch(spark):
     source, root = scratch_path(spark, "test-upsert-in"), scratch_path(spark, "test-upsert-root")
     now = F.lit("2024-01-02 03:04:05").cast("timestamp")
