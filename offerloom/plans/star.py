@@ -118,25 +118,28 @@ def stored(spark, label, tables):
 NARROW = ("uid", "seq", "source", "region", "region_lat", "region_lon", "company", "contract_type", "competences", "savoir_etre")
 
 
-def loaded(spark, d):
-    """Load order of the warehouse: the narrow columns once, keys and dimensions from them, then the fact."""
+def loaded(spark, d, dims=True, skills=True):
+    """Load order of the warehouse: the narrow columns once, keys and the wanted dimensions from them, then the fact."""
     rows = harmonised(spark, d)
     narrow = stored(spark, "attributes", {"attributes": rows.select(*NARROW)})["attributes"]
-    tables = stored(spark, "dimensions", {**wh.build_dimensions(narrow), "dim_skill": wh.build_dim_skill(narrow),
-                                          "keys": wh.offer_keys(narrow, "seq")})
-    return rows, narrow, tables
+    tables = {"keys": wh.offer_keys(narrow, "seq")}
+    if dims:
+        tables |= wh.build_dimensions(narrow)
+    if skills:
+        tables["dim_skill"] = wh.build_dim_skill(narrow)
+    return rows, narrow, stored(spark, "dimensions", tables)
 
 
 @query("build_fact", f"WITH {H}, {DIMS}, {FACT} SELECT {', '.join(FACT_COLUMNS)} FROM f")
 def build_fact(spark, d):
-    rows, narrow, tables = loaded(spark, d)
+    rows, narrow, tables = loaded(spark, d, skills=False)
     return wh.build_fact(rows, narrow, tables["keys"], tables, "seq").select(*FACT_COLUMNS)
 
 
 @query("build_bridge", f"""WITH {H}, {DIMS}, {FACT}, n AS (SELECT uid, unnest(list_concat(competences, savoir_etre)) AS skill_name FROM h)
 SELECT DISTINCT offer_key, skill_key FROM n JOIN dk USING (skill_name) JOIN f USING (uid)""")
 def build_bridge(spark, d):
-    _, narrow, tables = loaded(spark, d)
+    _, narrow, tables = loaded(spark, d, dims=False)
     return wh.build_bridge(narrow, tables["keys"], tables["dim_skill"])
 
 
