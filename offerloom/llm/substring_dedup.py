@@ -145,7 +145,7 @@ def _removals(window: int):
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and spans (begin and end word of each removed interval, in turn; null
+    """doc_id, seq (a hash of the words), n_words, n_removed, kept_sha256 and spans (begin and end word of each removed interval, in turn; null
     where the whole text goes as a copy of another) for every row of ``docs``.
 
     Null and blank texts have no words and keep none; texts shorter than the window keep all; repeated rows are copies
@@ -186,7 +186,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     whole = F.col("copied").isNotNull()
     none = F.array().cast("array<long>")
     return rows.select(
-        "doc_id", "n_words", F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        "doc_id", "seq", "n_words", F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(whole, F.lit(EMPTY)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
         F.when(~whole, F.coalesce("spans", none)).alias("spans"))
 
@@ -198,12 +198,13 @@ def _sequence(texts):
 
 
 def substring_digest(docs: DataFrame) -> DataFrame:
-    return repeated_spans(docs).drop("spans")
+    return repeated_spans(docs).drop("seq", "spans")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id and the kept words of every row, joined by one space."""
-    spans = repeated_spans(docs, window).select(F.col("doc_id").alias("__id"), "spans").dropDuplicates(["__id"])
+    """doc_id and the kept words of every row, joined by one space; rows that repeat an id keep their own words."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    spans = repeated_spans(docs, window).select(F.col("doc_id").alias("id"), F.col("seq").alias("sequence"), "spans").dropDuplicates(["id", "sequence"])
 
     @F.pandas_udf("string")
     def kept(texts, cuts):
@@ -218,4 +219,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             out.append(b" ".join(w for i in range(0, len(edge), 2) for w in split[edge[i]:edge[i + 1]]).decode())
         return pd.Series(out)
 
-    return docs.join(spans, docs["doc_id"].eqNullSafe(F.col("__id"))).select(docs["doc_id"], kept(F.col("text").cast("binary"), "spans").alias("kept_text"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (_sequence(F.col("text")) == F.col("sequence"))
+    return rows.join(spans, same).select("doc_id", kept(F.col("text"), "spans").alias("kept_text"))

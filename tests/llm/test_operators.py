@@ -196,6 +196,14 @@ def test_substring_dedup(docs, empty, con):
     assert kept[6] == "a b c d" and kept[5] == "" and kept[3] == "one"
 
 
+def test_rows_that_repeat_an_id_keep_their_own_words(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, f"head {passage}", "x"), (1, "other words", "y"), (2, f"{passage} tail", "z"), (None, "no id", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    kept = {(r["doc_id"], r["kept_text"]) for r in substring_dedup.remove_repeats(docs).collect()}
+    assert kept == {(1, "head"), (1, "other words"), (2, "tail"), (None, "no id")}
+
+
 def test_mixing(docs, empty, con):
     same(mixing.mix_digest(docs), con, oracles.MIXING_SQL)
     assert mixing.mix_digest(empty).count() == 0
