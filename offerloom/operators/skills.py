@@ -21,7 +21,6 @@ from offerloom.functions.text import normalize_skill_text
 from offerloom.schemas import LEXICON
 
 MAX_LEXICON_TERMS = 200_000
-MAX_INLINE_TERMS = 5_000
 WINDOW_CHARS = 512
 PIECE = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]"
 
@@ -151,11 +150,10 @@ def find_terms(texts: DataFrame, terms: Sequence[LexiconTerm], id_col: str, text
                        lambda s: F.lower(s.p).isin(*first_pieces))
     keyed = F.transform(indexed, lambda s: F.struct(s.i.alias("i"), F.array(*[
         F.lower(F.concat_ws("", s.p, *[F.get("__p", s.i + k) for k in range(1, n)])) for n in lengths]).alias("keys")))
-    if len(terms) <= MAX_INLINE_TERMS:
-        # Small lexicons are tested in place, so that positions are computed for real matches only.
-        known = sorted({t.term.lower() for t in terms})
-        keyed = F.filter(F.transform(keyed, lambda s: F.struct(
-            s.i.alias("i"), F.filter(s["keys"], lambda k: k.isin(*known)).alias("keys"))), lambda s: F.size(s["keys"]) > 0)
+    # The terms are tested in place (a hash set), so that positions are computed for real matches only.
+    known = sorted({t.term.lower() for t in terms})
+    keyed = F.filter(F.transform(keyed, lambda s: F.struct(
+        s.i.alias("i"), F.filter(s["keys"], lambda k: k.isin(*known)).alias("keys"))), lambda s: F.size(s["keys"]) > 0)
     placed = F.transform(keyed, lambda s: F.struct(F.length(joined(F.lit(1), s.i)).alias("at"), s["keys"].alias("keys")))
     inside = F.filter(placed, lambda s: (s["at"] >= F.col("core_start"))
                       & (s["at"] < F.col("core_start") + F.col("core_length")))

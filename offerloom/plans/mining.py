@@ -168,81 +168,86 @@ def geo_bins(spark, d):
 
 # --- vectors and models -------------------------------------------------------------
 
-_FITTED: dict = {}
-
-
-def _fitted(spark, d, name, fit):
-    """Models are fitted once per session and data folder."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _FITTED:
-        _FITTED[key] = fit()
-    return _FITTED[key]
-
-
 def doc_vectors(spark, d):
     """TF-IDF vectors of all documents (200 terms)."""
     docs = word_docs(spark, d)
-    model = _fitted(spark, d, "tfidf200", lambda: fit_tfidf(docs, "tokens", min_df=5, max_df=0.8, max_features=200))
+    model = fit_tfidf(docs, "tokens", min_df=5, max_df=0.8, max_features=200)
     return model, model.transform(docs, "tokens")
 
 
-def clustered(spark, d):
-    _, vectors = doc_vectors(spark, d)
-    model = _fitted(spark, d, "kmeans", lambda: models.fit_kmeans(vectors, 6))
-    return model.transform(vectors)
-
-
-def projected(spark, d):
-    _, vectors = doc_vectors(spark, d)
-    projection = _fitted(spark, d, "pca", lambda: models.Projection(vectors))
-    return projection
+def clustered(vectors):
+    return models.fit_kmeans(vectors, 6).transform(vectors)
 
 
 @query("kmeans_offers")
 def kmeans_offers(spark, d):
-    return clustered(spark, d).select("doc_id", "cluster_id")
+    return clustered(doc_vectors(spark, d)[1]).select("doc_id", "cluster_id")
+
+
+@query("silhouette", """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+x AS (SELECT label, unnest(v) AS value, generate_subscripts(v, 1) AS i FROM e),
+t AS (SELECT label, i, sum(value) AS total FROM x GROUP BY ALL),
+c AS (SELECT label AS k, count(*) AS n, sum(list_dot_product(v, v)) AS squares FROM e GROUP BY label),
+m AS (SELECT k, n, squares, sums FROM c JOIN (SELECT label AS k, list(total ORDER BY i) AS sums FROM t GROUP BY label) USING (k)),
+g AS (SELECT vec_id, label, k, n, n * list_dot_product(v, v) + squares - 2 * list_dot_product(v, sums) AS far FROM e, m),
+s AS (SELECT vec_id, max(n) FILTER (k = label) AS own, max(far / nullif(n - 1, 0)) FILTER (k = label) AS a,
+  min(far / n) FILTER (k <> label) AS b FROM g GROUP BY vec_id)
+SELECT round(avg(CASE WHEN own = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""")
+def silhouette(spark, d):
+    """Embedding labels as given clusters."""
+    from pyspark.ml.functions import array_to_vector
+    given = table(spark, d, "embeddings").select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), F.col("label").alias("cluster_id"))
+    return models.silhouette(given).select(F.round("silhouette", 6).alias("silhouette"))
 
 
-@query("silhouette")
-def silhouette(spark, d):
-    return models.silhouette(clustered(spark, d))
+@query("silhouette_fitted")
+def silhouette_fitted(spark, d):
+    return models.silhouette(clustered(doc_vectors(spark, d)[1]))
 
 
 @query("pca_2d")
 def pca_2d(spark, d):
     _, vectors = doc_vectors(spark, d)
-    return projected(spark, d).transform(vectors).select("doc_id", "coord_x", "coord_y")
+    return models.Projection(vectors).transform(vectors).select("doc_id", "coord_x", "coord_y")
 
 
-@query("cluster_assignments")
+@query("cluster_assignments", """SELECT vec_id AS doc_id, label AS cluster_id, CAST(embedding[1] AS DOUBLE) AS coord_x,
+  CAST(embedding[2] AS DOUBLE) AS coord_y, count(*) OVER (PARTITION BY label) AS n,
+  round(100.0 * count(*) OVER (PARTITION BY label) / count(*) OVER (), 6) AS pct FROM embeddings""")
 def cluster_assignments(spark, d):
-    rows = projected(spark, d).transform(clustered(spark, d)).select("doc_id", "cluster_id", "coord_x", "coord_y")
-    # one row per cluster
-    return rows.join(F.broadcast(models.cluster_sizes(rows)), "cluster_id")
+    """Embedding labels as given clusters, the first two elements as coordinates."""
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("cluster_id"),
+                                                at(0).alias("coord_x"), at(1).alias("coord_y"))
+    return models.with_sizes(rows)
+
+
+@query("cluster_assignments_fitted")
+def cluster_assignments_fitted(spark, d):
+    _, vectors = doc_vectors(spark, d)
+    rows = models.Projection(vectors).transform(clustered(vectors))
+    return models.with_sizes(rows.select("doc_id", "cluster_id", "coord_x", "coord_y"))
 
 
 @query("hierarchical_clusters")
 def hierarchical_clusters(spark, d):
     _, vectors = doc_vectors(spark, d)
-    model = _fitted(spark, d, "bisecting", lambda: models.fit_bisecting(vectors, 6))
-    return model.transform(vectors).select("doc_id", "cluster_id")
+    return models.fit_bisecting(vectors, 6).transform(vectors).select("doc_id", "cluster_id")
 
 
 @query("density_clusters")
 def density_clusters(spark, d):
     _, vectors = doc_vectors(spark, d)
-    points = projected(spark, d).transform(vectors).select("doc_id", "coord_x", "coord_y")
+    points = models.Projection(vectors).transform(vectors).select("doc_id", "coord_x", "coord_y")
     return density.density_clusters(points, "doc_id", "coord_x", "coord_y", eps=0.05, min_points=5)
 
 
-def count_vectors(spark, d):
-    model, _ = doc_vectors(spark, d)
-    return model, model.counts(word_docs(spark, d), "tokens", "tf")
-
-
 def lda(spark, d):
-    model, counts = count_vectors(spark, d)
-    return model, counts, _fitted(spark, d, "lda", lambda: models.fit_lda(counts, 6))
+    docs = word_docs(spark, d)
+    model = fit_tfidf(docs, "tokens", min_df=5, max_df=0.8, max_features=200)
+    counts = model.counts(docs, "tokens", "tf")
+    return model, counts, models.fit_lda(counts, 6)
 
 
 @query("lda_topics")
@@ -251,16 +256,44 @@ def lda_topics(spark, d):
     return models.topic_terms(fitted, model.terms, 15)
 
 
-@query("assign_topics")
+@query("assign_topics", """WITH p AS (SELECT vec_id, [CAST(x AS DOUBLE) * x for x in embedding] AS w FROM embeddings),
+q AS (SELECT vec_id, w, list_max(w) AS top, list_sum(w) AS total FROM p)
+SELECT vec_id, CAST(list_position(w, top) - 1 AS INTEGER) AS dominant_profile, round(top / total, 6) AS profile_probability FROM q""")
 def assign_topics(spark, d):
+    """Shares of the squared embedding elements as given topic distributions."""
+    squares = F.transform("embedding", lambda x: x.cast("double") * x.cast("double"))
+    total = F.aggregate("w", F.lit(0.0), lambda acc, x: acc + x)
+    given = table(spark, d, "embeddings").select("vec_id", squares.alias("w")) \
+        .select("vec_id", F.transform("w", lambda x: x / total).alias("topic_distribution"))
+    return models.assign_topics(given, "vec_id").withColumn("profile_probability", F.round("profile_probability", 6))
+
+
+@query("assign_topics_fitted")
+def assign_topics_fitted(spark, d):
     from pyspark.ml.functions import vector_to_array
     _, counts, fitted = lda(spark, d)
     rows = fitted.transform(counts).select("doc_id", vector_to_array("topic_distribution").alias("topic_distribution"))
     return models.assign_topics(rows, "doc_id")
 
 
-@query("topic_keywords")
+@query("topic_keywords", f"""WITH w AS (SELECT lang, unnest({CLEAN_SQL}) AS term FROM documents),
+c AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL),
+r AS (SELECT lang, term, CAST(row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS INTEGER) AS rank FROM c),
+t AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS topic_id FROM (SELECT DISTINCT lang FROM documents))
+SELECT topic_id, rank, term FROM r JOIN t USING (lang) WHERE topic_id = 2 AND rank <= 10""")
 def topic_keywords(spark, d):
+    """The leading terms of each language as given topics, numbered in name order."""
+    from pyspark.sql import Window
+    docs = documents(spark, d)
+    # one row per language
+    numbers = docs.select("lang").distinct().withColumn(
+        "topic_id", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("lang")) - 1)
+    given = group_terms(docs, clean_tokens(F.lower("text"), STOP_WORDS), "lang", 15).join(F.broadcast(numbers), "lang")
+    return models.topic_keywords(given, 2, 10)
+
+
+@query("topic_keywords_fitted")
+def topic_keywords_fitted(spark, d):
     model, _, fitted = lda(spark, d)
     return models.topic_keywords(models.topic_terms(fitted, model.terms, 15), 2, 10)
 
@@ -268,8 +301,7 @@ def topic_keywords(spark, d):
 @query("nmf_topics")
 def nmf_topics(spark, d):
     model, vectors = doc_vectors(spark, d)
-    fitted = _fitted(spark, d, "nmf", lambda: models.Nmf(6).fit(vectors, len(model.terms)))
-    return fitted.topic_terms(spark, model.terms, 15)
+    return models.Nmf(6).fit(vectors, len(model.terms)).topic_terms(spark, model.terms, 15)
 
 
 @query("topic_distribution", """SELECT label AS topic_id, count(*) AS n,
@@ -289,7 +321,7 @@ def vocabulary_docs(spark, d):
 
 
 def word_model(spark, d):
-    return _fitted(spark, d, "word2vec", lambda: models.fit_word2vec(vocabulary_docs(spark, d), "tokens"))
+    return models.fit_word2vec(vocabulary_docs(spark, d), "tokens")
 
 
 def vectors_of_words(spark, d):
@@ -302,29 +334,62 @@ def frequent_words(spark, d, n):
     return counts.orderBy(F.desc("n"), F.asc("word")).limit(n)
 
 
+def given_vectors(spark, d):
+    """Embeddings as vectors of words whose names are the ids."""
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("word"), F.col("embedding").alias("vector"), "label")
+
+
+NEAR_SQL = """WITH e AS (SELECT vec_id AS word, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+q AS (SELECT v AS w FROM e WHERE word = 11)
+SELECT word, round(list_cosine_similarity(v, w), 6) AS similarity FROM e, q"""
+
+
 @query("word2vec")
 def word2vec(spark, d):
-    return vectors_of_words(spark, d).select("word", F.size("vector").alias("dimensions"),
-                                             F.round(similarity.norm(F.col("vector")), 6).alias("norm"))
+    return vectors_of_words(spark, d)
 
 
-@query("similar_words")
+@query("similar_words", NEAR_SQL + " WHERE word <> 11 ORDER BY similarity DESC, word LIMIT 10")
 def similar_words(spark, d):
+    vectors = given_vectors(spark, d)
+    return similarity.nearest(vectors, "word", "vector", similarity.vector_of(vectors, "word", "vector", 11), 10, exclude=(11,))
+
+
+@query("similar_words_fitted")
+def similar_words_fitted(spark, d):
     vectors = vectors_of_words(spark, d)
     return similarity.nearest(vectors, "word", "vector", similarity.vector_of(vectors, "word", "vector", "avec"), 10,
                               exclude=("avec",))
 
 
-@query("dissimilar_words")
+@query("dissimilar_words", NEAR_SQL + " WHERE word <> 11 AND label <> 3 ORDER BY similarity, word LIMIT 10")
 def dissimilar_words(spark, d):
+    """The farthest among the words of some groups."""
+    vectors = given_vectors(spark, d)
+    return similarity.nearest(vectors.where("label <> 3"), "word", "vector", similarity.vector_of(vectors, "word", "vector", 11), 10,
+                              exclude=(11,), farthest=True)
+
+
+@query("dissimilar_words_fitted")
+def dissimilar_words_fitted(spark, d):
     vectors = vectors_of_words(spark, d)
     common = vectors.join(frequent_words(spark, d, 1000).select("word"), "word", "left_semi")
     return similarity.nearest(common, "word", "vector", similarity.vector_of(vectors, "word", "vector", "avec"), 10,
                               exclude=("avec",), farthest=True)
 
 
-@query("word_analogy")
+@query("word_analogy", """WITH e AS (SELECT vec_id AS word, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT word, [x / sqrt(list_dot_product(v, v)) for x in v] AS w FROM e WHERE word IN (1, 2, 3)),
+q AS (SELECT [t[1] - t[2] + t[3] for t in list_zip((SELECT w FROM u WHERE word = 1), (SELECT w FROM u WHERE word = 2),
+  (SELECT w FROM u WHERE word = 3))] AS w)
+SELECT word, round(list_cosine_similarity(v, w), 6) AS similarity FROM e, q WHERE word NOT IN (1, 2, 3)
+ORDER BY similarity DESC, word LIMIT 10""")
 def word_analogy(spark, d):
+    return similarity.analogy(given_vectors(spark, d), "word", "vector", 1, 2, 3, 10)
+
+
+@query("word_analogy_fitted")
+def word_analogy_fitted(spark, d):
     return similarity.analogy(vectors_of_words(spark, d), "word", "vector", "the", "les", "der", 10)
 
 
@@ -334,14 +399,12 @@ def word_clusters(spark, d):
     frequent = frequent_words(spark, d, 200)
     vectors = vectors_of_words(spark, d).join(frequent, "word").select(
         "word", "n", array_to_vector("vector").alias("features"))
-    model = _fitted(spark, d, "word-kmeans", lambda: models.fit_kmeans(vectors, 8, restarts=1))
-    return model.transform(vectors).select("word", "n", "cluster_id")
+    return models.fit_kmeans(vectors, 8).transform(vectors).select("word", "n", "cluster_id")
 
 
 @query("doc_vectors")
 def doc_vectors_query(spark, d):
-    rows = models.document_vectors(word_model(spark, d), vocabulary_docs(spark, d), "doc_id", "tokens")
-    return rows.select("doc_id", F.size("vector").alias("dimensions"), F.round(similarity.norm(F.col("vector")), 6).alias("norm"))
+    return models.document_vectors(word_model(spark, d), vocabulary_docs(spark, d), "doc_id", "tokens")
 
 
 @query("similar_docs", """WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 7)

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from offerloom.functions.text import tokenize, words
 from offerloom.operators import ranking, sets
-from offerloom.operators.tfidf import group_terms
+from offerloom.operators.tfidf import regional_terms
 from offerloom.plans.bindings import documents, offers, region_skill_counts, table, with_roles
+from offerloom.plans.mining import REGIONAL_SQL, word_docs
 from offerloom.plans.projections import UNIFIED_A, UNIFIED_B, raw_a, raw_b
 from offerloom.plans.registry import query
 from offerloom.plans.unify import unify_all
@@ -72,18 +73,13 @@ def union_sources(spark, d):
     return merged.withColumn("offer_id", F.regexp_extract("source_url", r"(\d+)$", 1))
 
 
-TERMS_SQL = r"""WITH t AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM documents),
-c AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS k FROM c)"""
-
-
-@query("term_set_compare", TERMS_SQL + """
+@query("term_set_compare", REGIONAL_SQL.replace("source", "lang") + """
 SELECT coalesce(a.term, b.term) AS term,
   CASE WHEN b.term IS NULL THEN 'only_left' WHEN a.term IS NULL THEN 'only_right' ELSE 'common' END AS side
-FROM (SELECT term FROM r WHERE k <= 40 AND lang = 'fr') a
-FULL JOIN (SELECT term FROM r WHERE k <= 40 AND lang = 'es') b ON a.term = b.term""")
+FROM (SELECT term FROM top WHERE lang = 'fr') a FULL JOIN (SELECT term FROM top WHERE lang = 'es') b ON a.term = b.term""")
 def term_set_compare(spark, d):
-    top = group_terms(documents(spark, d), words(F.col("text")), "lang", 40)
+    """The leading TF-IDF terms of two groups."""
+    top = regional_terms(word_docs(spark, d), "doc_id", "tokens", "lang")
     return sets.compare_terms(top.where(F.col("lang") == "fr"), top.where(F.col("lang") == "es"))
 
 

@@ -166,8 +166,8 @@ def warehouse(spark, d):
             "fact_offer_skill": wh.build_bridge(narrow, tables["keys"], dims["dim_skill"])}
 
 
-def contributed(spark, d):
-    return documents(spark, d).select(
+def contributed(docs):
+    return docs.select(
         F.col(K).alias("seq"), F.lit(None).cast("string").alias("offer_id"), F.md5("text").alias("title"),
         F.col("lang").alias("company_name"), F.lit("Paris").alias("location"), "source",
         F.lit("Île-de-France").alias("region_name"), pick(K, CONTRACTS).alias("contract_type"),
@@ -194,7 +194,7 @@ def upsert_offers(spark, d):
     root = scratch_path(spark, "warehouse")
     base = warehouse(spark, d)
     now = F.lit("2024-06-01 12:00:00").cast("timestamp")
-    batch = contributed(spark, d)
+    batch = contributed(documents(spark, d))
 
     write_snapshot(spark, root, base)
     append_snapshot(spark, root, wh.upsert_rows(read_tables(spark, root), batch.where(F.col("company_name") == "en"), "seq", now))

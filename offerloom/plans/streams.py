@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from offerloom.plans.bindings import stamp, table
 from offerloom.plans.registry import query
+from offerloom.plans.star import contributed, warehouse
 from offerloom.session import scratch_path
+from offerloom.sources.snapshots import read_tables, write_snapshot
 from offerloom.streaming import counts, ingest
 
 
@@ -48,3 +50,14 @@ def stream_ingest_dedup(spark, d):
     fresh = ingest.first_seen(offers, "uid", "received_at", "1 day")
     ingest.run_to_end(fresh, ingest.append_new(target + "/offers", "uid"), target + "/checkpoint")
     return spark.read.parquet(target + "/offers").select("uid")
+
+
+@query("stream_upsert", """SELECT DISTINCT md5(text) AS uid FROM documents
+UNION ALL SELECT DISTINCT md5(lower(md5(text) || '|' || lang || '|paris')) FROM documents""")
+def stream_upsert(spark, d):
+    """Documents as a stream of contributed offers onto the bulk-loaded warehouse, one snapshot per batch."""
+    root = scratch_path(spark, "stream-upsert")
+    write_snapshot(spark, root, warehouse(spark, d))
+    handle = ingest.upsert_batches(root, list(read_tables(spark, root)), "seq", F.lit("2024-06-01 12:00:00").cast("timestamp"))
+    ingest.run_to_end(contributed(stream_of(spark, d, "documents")), handle, root + "/checkpoint")
+    return read_tables(spark, root)["fact_offers"].select("uid")

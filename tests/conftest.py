@@ -9,11 +9,12 @@ os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from offerloom.session import build_session
     session = build_session("tests", "local[4]", {
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.default.parallelism": "4"})
+        "spark.ui.showConsoleProgress": "false", "spark.default.parallelism": "4",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
