@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import broadcast_within
+from offerloom.llm.common import broadcast_within, free_name
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -142,6 +142,15 @@ def _first_equal_block(apart: Column, radius: int) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a benchmark passage; rows without an id are judged together."""
-    hit = contaminations(docs, benchmark).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("__hit")), "left_anti")
+    """The rows of ``docs`` without a benchmark passage.
+
+    Rows and items are known by the SHA-256 of their text: every row is judged by its own text, whatever its id, and
+    items without an id count like the others.
+    """
+    def key() -> Column:
+        return F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+
+    items = benchmark.where("text IS NOT NULL").select(key().alias("item_id"), "text").distinct()
+    hit, own = free_name(docs, "__hit"), free_name(docs, "__text_key")
+    hits = contaminations(docs.select(key().alias("doc_id"), "text"), items).select(F.col("doc_id").alias(hit)).distinct()
+    return docs.withColumn(own, key()).join(hits, F.col(own) == F.col(hit), "left_anti").drop(own)

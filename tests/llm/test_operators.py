@@ -189,6 +189,17 @@ def test_decontamination(docs, empty, spark, con):
     assert decontaminate.drop_contaminated(docs, benchmark).where("doc_id IN (5, 6, 12)").count() == 0
 
 
+def test_contaminated_rows_are_dropped_by_row_and_not_by_id(spark):
+    leak = f"a b {PASSAGE} c d"
+    rows = [(None, leak), (None, LINES[1]), (None, None), (4, leak), (4, LINES[2]), (4, LINES[2]), (6, LINES[3]), (8, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, __hit string")
+    benchmark = spark.createDataFrame([(1, PASSAGE), (None, LINES[3]), (2, None), (None, None)], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+        [(None, LINES[1]), (None, None), (4, LINES[2]), (4, LINES[2]), (8, "")])
+
+
 def test_substring_dedup(docs, empty, con):
     same(substring_dedup.substring_digest(docs), con, oracles.SUBSTRING_SQL)
     assert substring_dedup.substring_digest(empty).count() == 0
