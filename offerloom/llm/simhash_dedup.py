@@ -10,6 +10,7 @@ verified links, not the links of a whole group.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -18,8 +19,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from offerloom.llm.common import components, stored
+from offerloom.llm.common import components, free_name, stored
 
 SEED = 42
 SHINGLE = 4
@@ -54,12 +56,19 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id and its fingerprint as a (signed) long. Null and blank texts have fingerprint 0."""
+    return _with_prints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle)
+
+
+def _with_prints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The other columns with ``fp`` in the place of ``text``, which is the last one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["doc_id", "fp"])
+            *others, texts = batch.columns
+            values = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*others, pa.array(values)], [*batch.schema.names[:-1], "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    schema = StructType([*docs.schema.fields[:-1], StructField("fp", LongType())])
+    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, schema)
 
 
 def _differing(a: np.ndarray, b: np.ndarray, pick: np.ndarray) -> np.ndarray:
@@ -224,7 +233,20 @@ def near_digest(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each group stays: the one with the smallest id, once; rows without an id stay."""
-    groups = near_groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(groups, docs["doc_id"] == F.col("__keep"), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    """One row of each group of near copies stays: the one with the smallest id; a row without an id only where no row
+    of the group has one.
+
+    Groups are those of the fingerprints, not of the ids: rows that repeat an id over unrelated texts are judged
+    apart. Rows get a key that is written before it is read twice; among
+    rows of equal id it decides only after a hash of the row, so reruns keep the same rows.
+    """
+    key = free_name(docs, "__row")
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "simhash-rows")
+    hashed = [f.name for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    prints = _with_prints(rows.select("doc_id", F.xxhash64(*hashed).alias("hash"), F.col(key).alias("row"), "text"))
+    rank = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "hash", "row")
+    nodes = stored(prints.groupBy("fp").agg(F.min(rank).alias("first")), "simhash-nodes")
+    roots = components(near_links(nodes), "simhash-components")
+    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
+    kept = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(key))
+    return rows.join(kept, key, "left_semi").select(*docs.columns)

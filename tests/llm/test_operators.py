@@ -111,6 +111,17 @@ def test_simhash(docs, empty):
     assert kept.columns == docs.columns and kept.where("doc_id IN (7, 8)").count() == 1
 
 
+def test_near_copies_are_dropped_by_row_and_not_by_id(spark):
+    a, b, c, d = LINES[0], LINES[4], LINES[8], PASSAGE
+    rows = [(3, a), (7, a), (7, b), (5, c), (5, d), (None, a), *[(None, LINES[11])] * 3, (9, b), (None, LINES[6])]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(i, t, "x") for i, t in order], "doc_id long, text string, __row string")
+        kept = simhash_dedup.drop_near_duplicates(docs)
+        assert kept.columns == docs.columns
+        assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+            [(3, a), (7, b), (5, c), (5, d), (None, LINES[11]), (None, LINES[6])])
+
+
 def test_simhash_hot_key(spark, monkeypatch):
     """Keys with more fingerprints than a block are compared block by block."""
     monkeypatch.setattr(simhash_dedup, "BLOCK", 8)
