@@ -2,7 +2,7 @@
 
 Three base kinds are regular expressions. The fourth looks at candidate strings of secret-like characters: a window
 slides over each string, and its Shannon entropy follows from the counts of the character that enters and the one that
-leaves. Windows above the bound of the string's character class are merged into spans; strings on the allow-list, and
+leaves. Windows above the bound of their character class are merged into spans; strings on the allow-list, and
 spans that a base kind has reported, are suppressed.
 """
 
@@ -22,8 +22,8 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Character class of a string, and the bits per character above which a window is suspicious.
-CLASSES = ((r"^[0-9]+$", 9.0), (r"^[0-9a-fA-F]+$", 3.0), (r"^[A-Za-z0-9]+$", 3.7), (r"", 3.9))
+#: Bits per character from which a window is suspicious: hexadecimal digits, letters and digits, any candidate characters.
+HEX_BITS, PLAIN_BITS, ANY_BITS = 3.0, 3.7, 3.9
 #: Strings that are known not to be secrets.
 ALLOWED = r"(?i)example|sample|placeholder|dummy|changeme|x{6,}|lorem|^[a-z]+([_/-][a-z0-9]{1,12})+$|^[0-9]+([_/-][0-9]+)*$|^[A-Za-z_/=+-]+$"
 
@@ -60,13 +60,16 @@ def _weight(count: Column) -> Column:
 
 
 def _hot_parts(string: Column, begin: Column) -> Column:
-    """Spans of the windows of one string whose entropy is above the bound of its class.
+    """Spans of the windows of one string whose entropy is above the bound of their class.
 
     With counts c of W characters the entropy is log2 W - sum(c log2 c) / W; only two terms change per step.
+    The class is that of the window's own characters, which follows from the last place of each kind of character. A
+    window without a digit, or of 0-9 and a-f alone (the base kind ``hex`` has reported its run), has the string's class.
     """
-    bound = F.lit(CLASSES[-1][1])
-    for pattern, least in reversed(CLASSES[:-1]):
-        bound = F.when(F.rlike(string, F.lit(pattern)), F.lit(least)).otherwise(bound)
+    def bits(hexadecimal: Column, plain: Column) -> Column:
+        return F.when(hexadecimal, HEX_BITS).when(plain, PLAIN_BITS).otherwise(ANY_BITS)
+
+    whole = bits(F.rlike(string, F.lit("^[0-9a-fA-F]+$")), F.rlike(string, F.lit("^[A-Za-z0-9]+$")))
 
     def scan(chars: Column) -> Column:
         def count(window: Column, char: Column) -> Column:
@@ -77,15 +80,22 @@ def _hot_parts(string: Column, begin: Column) -> Column:
             middle = F.slice(chars, F.greatest(i - WINDOW + 1, F.lit(0)) + 1, F.least(i, F.lit(WINDOW - 1)))
             left, entered = count(before, F.get(chars, i - WINDOW)), count(middle, F.get(chars, i))
             total = acc["total"] + _weight(entered + 1) - _weight(entered) + F.when(i >= WINDOW, _weight(left - 1) - _weight(left)).otherwise(0.0)
+            char, low = F.get(chars, i), i - WINDOW + 1
+            digit = char.between("0", "9")
+            lower_hex = digit | char.between("a", "f")
+            seen = {"digit": digit, "above": ~lower_hex, "letter": ~lower_hex & ~char.between("A", "F"), "sign": char.isin(*"+/_=-")}
+            at = {k: F.when(now, i).otherwise(acc[k]) for k, now in seen.items()}
+            own = (at["digit"] >= low) & (at["above"] >= low)
+            bound = F.when(own, bits(at["letter"] < low, at["sign"] < low)).otherwise(whole)
             hot = (i >= WINDOW - 1) & (F.round(log2(WINDOW) - total / WINDOW, 6) >= bound)
             first = begin + i - WINDOW + 1
             last = F.element_at(acc["spans"], -1)
             joins = (F.size(acc["spans"]) > 0) & (last["end"] >= first)
             span = F.struct(F.when(joins, last["start"]).otherwise(first).cast("int").alias("start"), F.lit(3).alias("kind"), (begin + i + 1).cast("int").alias("end"))
             grown = F.concat(F.when(joins, F.slice(acc["spans"], 1, F.size(acc["spans"]) - 1)).otherwise(acc["spans"]), F.array(span))
-            return F.struct(total.alias("total"), F.when(hot, grown).otherwise(acc["spans"]).alias("spans"))
+            return F.struct(total.alias("total"), *[v.alias(k) for k, v in at.items()], F.when(hot, grown).otherwise(acc["spans"]).alias("spans"))
 
-        start = F.struct(F.lit(0.0).alias("total"), F.array().cast(NO_SPANS).alias("spans"))
+        start = F.struct(F.lit(0.0).alias("total"), *[F.lit(-1).alias(k) for k in ("digit", "above", "letter", "sign")], F.array().cast(NO_SPANS).alias("spans"))
         return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, step, lambda acc: acc["spans"])
 
     return F.transform(F.array(F.split(string, "")), scan)[0]

@@ -261,6 +261,18 @@ def test_secrets(spark, empty):
     assert secret_scan.secret_digest(empty).count() == 0
 
 
+def test_entropy_class_is_that_of_the_window(spark):
+    upper = "9F86D081884C7D659A2FEAA0C55AD015"
+    texts = [upper, f"SIG={upper}", f"x-{upper}_y", "2024-01-02/1234-5678-9012-3456", "KEY=" + "7" * 30, "9" * 9 + "8765432101234567890123"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.secret_digest(docs).collect()}
+    for i in range(3):
+        begin, end = map(int, spans[i].split(":")[1:])
+        assert spans[i].startswith("entropy:") and "," not in spans[i]
+        assert begin <= texts[i].index(upper) + 1 and end >= texts[i].index(upper) + 31
+    assert spans[3] == "" and spans[4] == "hex:4:34" and spans[5] == f"hex:0:{len(texts[5])}"
+
+
 def _entropies(string):
     best = 0.0
     for i in range(len(string) - 19):
