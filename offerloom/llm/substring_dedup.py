@@ -169,9 +169,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     # Their windows, counted; only these texts are moved.
     seq = F.col("seq")
-    own = texts.withColumnRenamed("doc_id", "own")
-    near = own.join(marked, F.col("own").eqNullSafe(F.col("doc_id"))).select("doc_id", "seq", "single", "text", "marks")
-    near = stored(near.where(seq == _sequence(F.col("text"))).dropDuplicates(["doc_id", "seq"]), "substring-texts")
+    own = texts.select(F.col("doc_id").alias("own"), _sequence(F.col("text")).alias("own_seq"), "text")
+    near = own.join(marked, F.col("own").eqNullSafe(F.col("doc_id")) & (F.col("own_seq") == seq)).select("doc_id", "seq", "single", "text", "marks")
+    near = stored(near.dropDuplicates(["doc_id", "seq"]), "substring-texts")
     windows = stored(near.mapInArrow(_windows(window, gram), "h1 long, h2 long, doc_id long, seq long, single boolean, start int"), "substring-windows")
     repeated = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
     starts = windows.where("single").join(repeated, ["h1", "h2"]).groupBy("doc_id", "seq").agg(F.collect_list("start").alias("starts")) \

@@ -226,6 +226,15 @@ def test_rows_that_repeat_an_id_keep_their_own_words(spark):
     assert kept == {(1, "head"), (1, "other words"), (2, "tail"), (None, "no id")}
 
 
+def test_marked_sequences_meet_their_texts_by_id_and_sequence(spark, monkeypatch):
+    plans, stored = {}, substring_dedup.stored
+    monkeypatch.setattr(substring_dedup, "stored", lambda df, label: plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString()) and stored(df, label))
+    rows = [(None, f"a{i} {PASSAGE} b{i}") for i in range(3)] + [(None, LINES[2]), (None, LINES[2])]
+    kept = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(r["kept_text"] for r in kept.collect()) == Counter({"a0 b0": 1, "a1 b1": 1, "a2 b2": 1, "": 2})
+    assert re.search(r"Join Inner, .*own_?\w*#\d+.*seq#\d+", plans["substring-texts"])
+
+
 def test_mixing(docs, empty, con):
     same(mixing.mix_digest(docs), con, oracles.MIXING_SQL)
     assert mixing.mix_digest(empty).count() == 0
