@@ -61,7 +61,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, b
     """At most ``rows`` labelled documents outside the held-out third: doc_id, text, label.
 
     The choice is by hash of the id, so it is the same on every run. With ``balanced`` each of the two
-    classes gives at most half of the rows. The chosen ids are bounded by ``rows`` and may be broadcast.
+    classes gives at most half of the rows. The chosen ids are bounded by ``rows`` and may be broadcast; of rows that
+    repeat an id one stands for all, the one with the least hash of its text.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
@@ -71,7 +72,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, b
         chosen = parts[0].unionByName(parts[1])
     else:
         chosen = known.orderBy(*order).limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return one.select("doc_id", F.col("least.text").alias("text"), "label")
 
 
 def components(links: DataFrame, label: str = "links", rounds: int = 60) -> DataFrame:

@@ -310,3 +310,17 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150), (300, 300)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert all(found[i] == 0 for i in range(41)) and found[200] == found[150] == found[100] == 100 and 300 not in found
+
+
+def test_labelled_sample_bounds_rows_and_not_only_ids(spark):
+    from offerloom.llm.common import labelled_sample
+    known = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    rows = [(i, f"text {j} of {i}") for i in range(30) for j in range(9)] + [(0, None), (None, "no id")]
+    runs = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string")
+        for balanced in (False, True):
+            sample = labelled_sample(docs, known, "quality", 10, balanced).collect()
+            assert len(sample) == len({r["doc_id"] for r in sample}) == 10
+            runs.append({(r["doc_id"], r["text"], r["label"]) for r in sample})
+    assert runs[0] == runs[2] and runs[1] == runs[3]
