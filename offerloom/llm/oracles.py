@@ -53,3 +53,41 @@ kept AS (SELECT r, string_agg(x, ' ' ORDER BY j) AS line FROM (SELECT r, unnest(
 lost AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (r) LEFT JOIN lost USING (r)"""
+
+
+
+def _field(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(CAST({column} AS VARCHAR)) || ':' || {column} END"
+
+
+#: Unsigned CRC-32 of the decimal digits of doc_id, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda d: CAST(ascii(d) AS UBIGINT))), lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+    lambda x, i: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))))"""
+
+MANIFEST_SQL = f"""
+WITH RECURSIVE parts AS (SELECT doc_id, lang, n_chars, {_field("doc_id")} || {_field("source")} || {_field("lang")} AS head,
+    {_field("text")} AS body, doc_id IS NOT NULL AND {CRC32} % 7 = 0 AS altered FROM documents),
+hashed AS (SELECT doc_id, lang, sha256(head || {_field("n_chars")} || body) AS leaf,
+    CASE WHEN altered AND n_chars IS NOT NULL THEN sha256(head || strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) || body) END AS found FROM parts),
+leaves AS (SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS size FROM hashed),
+nodes AS (SELECT lang AS tree, 0 AS level, pos, size, leaf AS digest FROM leaves UNION ALL
+    SELECT tree, level + 1, pos // 2, (max(size) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE size > 1 GROUP BY tree, level, pos // 2),
+subroots AS (SELECT tree, level AS levels, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS size FROM nodes WHERE size = 1),
+upper AS (SELECT 0 AS level, pos, size, digest FROM subroots UNION ALL
+    SELECT level + 1, pos // 2, (max(size) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM upper WHERE size > 1 GROUP BY level, pos // 2),
+root AS (SELECT digest AS root, level AS levels FROM upper WHERE size = 1),
+placed AS (SELECT l.r, l.pos, s.pos AS top, l.lang, s.levels, s.digest AS subroot FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.tree),
+low AS (SELECT r, lang, unnest(range(levels)) AS level, pos FROM placed),
+high AS (SELECT r, p.levels AS below, unnest(range(root.levels)) AS level, top AS pos FROM placed p, root),
+steps AS (SELECT r, l.level AS step, (l.pos >> l.level) & 1 AS side, n.digest AS other FROM low l LEFT JOIN nodes n
+        ON n.tree IS NOT DISTINCT FROM l.lang AND n.level = l.level AND n.pos = xor(l.pos >> l.level, 1) UNION ALL
+    SELECT r, below + h.level, (h.pos >> h.level) & 1, u.digest FROM high h LEFT JOIN upper u ON u.level = h.level AND u.pos = xor(h.pos >> h.level, 1)),
+folds AS (SELECT r, 0 AS step, coalesce(found, leaf) AS digest FROM leaves UNION ALL
+    SELECT f.r, f.step + 1, sha256(CASE WHEN other IS NULL THEN f.digest WHEN side = 1 THEN other || f.digest ELSE f.digest || other END)
+    FROM folds f JOIN steps s ON f.r = s.r AND f.step = s.step),
+proofs AS (SELECT r, sha256(coalesce(string_agg(other, '' ORDER BY step), '')) AS proof_sha256 FROM steps GROUP BY r),
+ends AS (SELECT r, arg_max(digest, step) AS folded_root FROM folds GROUP BY r)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN placed USING (r) JOIN ends USING (r) LEFT JOIN proofs USING (r), root"""

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offerloom.llm import (decontaminate, mixing, quality_neighbours, rule_forest, secret_scan, sharding, simhash_dedup,
+from offerloom.llm import (decontaminate, merkle, mixing, quality_neighbours, rule_forest, secret_scan, sharding, simhash_dedup,
                            substring_dedup, token_counts, toxicity)
 from offerloom.llm.common import table
-from offerloom.llm.oracles import DECONTAMINATION_SQL, MIXING_SQL, SUBSTRING_SQL
+from offerloom.llm.oracles import DECONTAMINATION_SQL, MANIFEST_SQL, MIXING_SQL, SUBSTRING_SQL
 
 QUERIES = {}
 ORACLES = {}
@@ -70,3 +70,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_histogram_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op11_merkle_manifest", MANIFEST_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digest(table(spark, sf_dir, "documents"))
