@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from offerloom.llm import (decontaminate, merkle, mixing, quality_neighbours, rule_forest, secret_scan, sharding, simhash_dedup,
+from offerloom.llm import (alignment, decontaminate, merkle, mixing, quality_neighbours, rule_forest, secret_scan, sharding, simhash_dedup,
                            substring_dedup, token_counts, toxicity)
 from offerloom.llm.common import table
 from offerloom.llm.oracles import DECONTAMINATION_SQL, MANIFEST_SQL, MIXING_SQL, SUBSTRING_SQL
@@ -75,3 +75,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_merkle_manifest", MANIFEST_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digest(table(spark, sf_dir, "documents"))
