@@ -91,3 +91,11 @@ proofs AS (SELECT r, sha256(coalesce(string_agg(other, '' ORDER BY step), '')) A
 ends AS (SELECT r, arg_max(digest, step) AS folded_root FROM folds GROUP BY r)
 SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM leaves JOIN placed USING (r) JOIN ends USING (r) LEFT JOIN proofs USING (r), root"""
+
+TOP_K_SQL = """
+WITH rows_ AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.r AS q, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM rows_ q JOIN rows_ c ON q.vec_id % 20 = 0 AND q.r <> c.r)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY q ORDER BY score DESC, vec_id NULLS LAST) QUALIFY row_number() OVER best <= 20"""

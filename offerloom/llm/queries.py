@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from offerloom.llm import (alignment, decontaminate, merkle, mixing, quality_neighbours, rule_forest, secret_scan, sharding, simhash_dedup,
-                           substring_dedup, token_counts, toxicity)
+                           substring_dedup, token_counts, topk, toxicity)
 from offerloom.llm.common import table
-from offerloom.llm.oracles import DECONTAMINATION_SQL, MANIFEST_SQL, MIXING_SQL, SUBSTRING_SQL
+from offerloom.llm.oracles import DECONTAMINATION_SQL, MANIFEST_SQL, MIXING_SQL, SUBSTRING_SQL, TOP_K_SQL
 
 QUERIES = {}
 ORACLES = {}
@@ -80,3 +80,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_tokenizer_alignment")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_topk_search", TOP_K_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
