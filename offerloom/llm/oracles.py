@@ -4,7 +4,8 @@
 WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0b\\x0c\\r]+'), lambda w: w <> '')"
 
 MIXING_SQL = f"""
-WITH rows_ AS (SELECT row_number() OVER () AS row_, doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size FROM documents),
+WITH rows_ AS (SELECT row_number() OVER () AS row_, doc_id, source, md5(coalesce(text, '')) AS key, CAST(len({WORDS}) AS BIGINT) AS size,
+    row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) - 1 AS copy FROM documents),
 sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
     [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM rows_ GROUP BY source),
 filled AS (SELECT *, 2.0 * source_size / weight AS cap,
@@ -17,13 +18,14 @@ level AS (SELECT arg_min((1.5 * t.total - before) / (t.weights - before_weight),
 plan AS (SELECT source, source_size, CASE WHEN source_size = 0 THEN 0.0
     ELSE round(least(CAST(2 * source_size AS DOUBLE), weight * rate), 4) END AS target FROM sources, level),
 plan2 AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size) END AS passes FROM plan),
-blocks AS (SELECT row_, doc_id, source, size, unnest(range(CAST(greatest(1, ceil(size / 512.0)) AS BIGINT))) AS block FROM rows_),
+blocks AS (SELECT row_, doc_id, source, size, key, copy, unnest(range(CAST(greatest(1, ceil(size / 512.0)) AS BIGINT))) AS block FROM rows_),
 sized AS (SELECT b.*, p.source_size, p.target, p.passes, floor(p.target + 1e-6) - p.passes * p.source_size AS rest,
     least(512, size - block * 512) AS words FROM blocks b JOIN plan2 p ON b.source IS NOT DISTINCT FROM p.source),
 placed AS (SELECT *, words * passes + greatest(0, least(words, rest - coalesce(sum(words) OVER (
-    PARTITION BY source ORDER BY substr(md5(concat_ws(':', doc_id, block)), 1, 15), doc_id, block, row_
+    PARTITION BY source ORDER BY substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), ''), key, copy, block)), 1, 15), doc_id, key, copy, block
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS taken FROM sized)
-SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(sum(taken) AS BIGINT) AS taken
+SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target, CAST(sum(taken) AS BIGINT) AS taken,
+    CAST(sum(CASE WHEN words > 0 THEN passes + CAST(taken > words * passes AS INTEGER) ELSE 0 END) AS BIGINT) AS drawn
 FROM placed GROUP BY row_, doc_id, size, source_size, target"""
 
 DECONTAMINATION_SQL = r"""
