@@ -10,12 +10,13 @@ look-up. A second pass aligns the documents again and looks their counts up.
 
 from __future__ import annotations
 
-import json
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -32,8 +33,6 @@ B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Neither vocabulary has a token that ends a stretch and begins the next one at such a space.
 CUT = re.compile(rf"(?<=[^\s{MARK}]) (?=[^\s{MARK}])")
-#: Distinct stretches that a task remembers, and the longest of them.
-REMEMBERED, LONGEST = 100_000, 64
 SLICE_CHARS = 1 << 23
 #: Pairs that one table may hold (about 16 bytes each): what is broadcast at once.
 TABLE_PAIRS = 1 << 22
@@ -52,7 +51,7 @@ def _byte_of_letter() -> dict[str, int]:
 
 
 class Aligner:
-    """Both tokenizers with the bytes of their tokens, and a memory of the stretches aligned so far."""
+    """Both tokenizers with the bytes of their tokens."""
 
     def __init__(self, a_json: bytes, b_model: bytes):
         import sentencepiece
@@ -60,6 +59,7 @@ class Aligner:
 
         self.a = Tokenizer.from_str(a_json.decode())
         self.a.encode_special_tokens = True
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         letters, vocabulary = _byte_of_letter(), self.a.get_vocab(with_added_tokens=True)
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
@@ -67,44 +67,14 @@ class Aligner:
             self.a_bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
                         for i in range(self.b.vocab_size()) for p in [self.b.id_to_piece(i)]]
-        self.known: dict[str, tuple] = {}
-
-    def entries(self, stretches: list[str]) -> list[tuple]:
-        """(tokens of A, tokens of B, groups, links as keys, groups as text) per stretch, None where the bytes differ."""
-        known = self.known
-        new = [s for s in stretches if s not in known]
-        fresh = {}
-        if new:
-            a_ids = [e.ids for e in self.a.encode_batch_fast([" " + s for s in new], add_special_tokens=False)]
-            b_ids = self.b.encode(new, num_threads=1)
-            fresh = {s: self.align((" " + s).encode(), a, b) for s, a, b in zip(new, a_ids, b_ids)}
-        out = [known.get(s) if s in known else fresh[s] for s in stretches]
-        if len(known) > REMEMBERED:
-            known.clear()
-        known.update((s, e) for s, e in fresh.items() if len(s) <= LONGEST)
-        return out
+        self.sizes = [np.array([len(t) for t in tokens], np.int64) for tokens in (self.a_bytes, self.b_bytes)]
+        #: The decimal ids with what follows them inside a group and at the end of a group's side.
+        self.decimals = [np.array([str(i) + end for end in ends for i in range(len(tokens))], object)
+                         for tokens, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;"))]
 
-    def align(self, data: bytes, a: list[int], b: list[int]) -> tuple | None:
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != data or b"".join(b_parts) != data:
-            return None
-        links, groups, i, j, i0, j0, n = [], [], 0, 0, 0, 0, len(self.b_bytes)
-        a_end, b_end = len(a_parts[0]), len(b_parts[0])
-        while True:
-            links.append(a[i] * n + b[j])
-            if a_end == b_end:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-                if i == len(a):
-                    return len(a), len(b), len(groups), np.array(links, np.int64), ";".join(groups)
-                i0, j0 = i, j
-                a_end, b_end = a_end + len(a_parts[i]), b_end + len(b_parts[j])
-            elif a_end < b_end:
-                i += 1
-                a_end += len(a_parts[i])
-            else:
-                j += 1
-                b_end += len(b_parts[j])
+    def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        return ([e.ids for e in self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)],
+                self.b.encode(stretches, num_threads=1))
 
 
 @lru_cache(maxsize=1)
@@ -114,34 +84,83 @@ def _aligner(a_json: bytes, b_model: bytes) -> Aligner:
 
 @dataclass
 class Aligned:
-    """A run of texts: stretches[begin[i]:end[i]] index the entries of text i; texts without tokens have none."""
-    entries: list[tuple]
-    stretches: np.ndarray
+    """A run of texts. Text i consists of the distinct stretches at[begin[i]:end[i]]; texts without tokens of none.
+    counts: tokens of A, tokens of B, groups and links of each stretch; keys: the links of all stretches end to end."""
+    at: np.ndarray
     begin: np.ndarray
     end: np.ndarray
+    counts: list[np.ndarray]
+    keys: np.ndarray
+    pieces: list[str]
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(values[self.stretches])]) if len(self.stretches) else np.zeros(1, np.int64)
+        total = np.concatenate([[0], np.cumsum(values[self.at])]) if len(self.at) else np.zeros(1, np.int64)
         return total[self.end] - total[self.begin]
 
-    def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """The keys of all entries end to end, and where each entry ends."""
-        ends = np.cumsum([len(e[3]) for e in self.entries], dtype=np.int64)
-        return np.concatenate([e[3] for e in self.entries]) if self.entries else np.zeros(0, np.int64), ends
+    def per_stretch(self, links: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(links)])
+        return np.diff(total[np.concatenate([[0], np.cumsum(self.counts[3])])])
+
+    def digests(self) -> list[str]:
+        """sha256 of the groups of each text, '' without tokens."""
+        ends = np.cumsum(self.counts[0] + self.counts[1]).tolist()
+        lines = ["".join(self.pieces[b:e]) for b, e in zip([0, *ends], ends)]
+        at = self.at.tolist()
+        return [sha256("".join([lines[i] for i in at[b:e]])[:-1].encode()).hexdigest() if e > b else ""
+                for b, e in zip(self.begin.tolist(), self.end.tolist())]
+
 
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
 
-def _aligned(texts: list[str | None], aligner: Aligner) -> Aligned:
+
+def _differing(stretches: list[str], ids: list[np.ndarray], counts: list[np.ndarray], aligner: Aligner) -> list[int]:
+    """The stretches that a tokenizer does not give back byte by byte."""
+    data = [b" " + s.encode() for s in stretches]
+    lengths = np.fromiter(map(len, data), np.int64, len(data))
+    joined, bad = b"".join(data), set()
+    for own, n, size, tokens in zip(ids, counts, aligner.sizes, (aligner.a_bytes, aligner.b_bytes)):
+        ends = np.concatenate([[0], np.cumsum(n)])
+        total = np.concatenate([[0], np.cumsum(size[own])])
+        if b"".join([tokens[i] for i in own.tolist()]) != joined or (np.diff(total[ends]) != lengths).any():
+            bad.update(k for k, (x, y) in enumerate(zip(ends[:-1], ends[1:])) if b"".join([tokens[i] for i in own[x:y].tolist()]) != data[k])
+    return sorted(bad)
+
+
+def _aligned(texts: list[str | None], aligner: Aligner, with_pieces: bool = False) -> Aligned:
     places: dict[str, int] = {}
     parts = [[places.setdefault(s, len(places)) for s in CUT.split(t)] if t else [] for t in texts]
-    entries = aligner.entries(list(places))
-    bad = np.array([e is None for e in entries], bool)
-    if bad.any():
-        parts = [[] if bad[p].any() else p for p in parts]
-        used = {i for p in parts for i in p}  # what only texts without tokens hold is neither counted nor looked up
-        entries = [e if i in used else (0, 0, 0, np.zeros(0, np.int64), "") for i, e in enumerate(entries)]
-    sizes = np.array([len(p) for p in parts], np.int64)
-    end = np.cumsum(sizes)
-    return Aligned(entries, np.array([i for p in parts for i in p], np.int64), end - sizes, end)
+    lists = aligner.encode(list(places))
+    n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in lists)
+    a_ids, b_ids = map(_flat, lists)
+    if bad := _differing(list(places), [a_ids, b_ids], [n_a, n_b], aligner):
+        wrong = set(bad)
+        parts = [[] if not wrong.isdisjoint(p) else p for p in parts]
+        used = np.zeros(len(places), bool)  # what only texts without tokens hold is neither counted nor looked up
+        used[_flat(parts)] = True
+        a_ids, b_ids = a_ids[np.repeat(used, n_a)], b_ids[np.repeat(used, n_b)]
+        n_a, n_b = n_a * used, n_b * used
+    a_end, b_end = np.cumsum(aligner.sizes[0][a_ids]), np.cumsum(aligner.sizes[1][b_ids])
+    # Between two neighbouring token ends, of either side, lies one link; where both sides end, a group ends.
+    ends = np.zeros(int(a_end[-1]) + 1 if len(a_end) else 1, bool)
+    ends[a_end] = ends[b_end] = True
+    cuts = np.flatnonzero(ends)
+    i, j = np.searchsorted(a_end, cuts), np.searchsorted(b_end, cuts)
+    both = (a_end[i] == cuts) & (b_end[j] == cuts)
+    stretch = np.repeat(np.arange(len(places)), n_a)[i]
+    counts = [n_a, n_b, *(np.bincount(x, minlength=len(places)) for x in (stretch[both], stretch))]
+    pieces = []
+    if with_pieces:
+        sides = []
+        for side, (ids, end) in enumerate(((a_ids, a_end), (b_ids, b_end))):
+            group = np.searchsorted(cuts[both], end)
+            last = np.concatenate([group[1:] != group[:-1], [True]]) if len(group) else np.zeros(0, bool)
+            sides.append((group * 2 + side, aligner.decimals[side][ids + last * len(aligner.sizes[side])]))
+        order = np.argsort(np.concatenate([s[0] for s in sides]), kind="stable")
+        pieces = np.concatenate([s[1] for s in sides])[order].tolist()
+    size = np.array([len(p) for p in parts], np.int64)
+    end = np.cumsum(size)
+    return Aligned(_flat(parts), end - size, end, counts, a_ids[i] * len(aligner.b_bytes) + b_ids[j], pieces)
 
 
 def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -171,10 +190,8 @@ def pair_counts(docs: DataFrame, files: Broadcast) -> DataFrame:
             texts = batch.column(0).to_pylist()
             for low, high in _runs(texts):
                 got = _aligned(texts[low:high], aligner)
-                keys, ends = got.links()
-                times = np.bincount(got.stretches, minlength=len(got.entries))
-                n = np.repeat(times, np.diff(np.concatenate([[0], ends])))
-                held.append(_summed(keys[n > 0], n[n > 0]))
+                n = np.repeat(np.bincount(got.at, minlength=len(got.counts[3])), got.counts[3])
+                held.append(_summed(got.keys, n))
                 size += len(held[-1][0])
                 if size > 1 << 21:
                     held = [_summed(*map(np.concatenate, zip(*held)))]
@@ -348,23 +365,14 @@ def _looked_up(docs: DataFrame, files: Broadcast, table: Table | None, best: np.
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for low, high in _runs(texts):
-                got = _aligned(texts[low:high], aligner)
-                keys, ends = got.links()
-                n = table.look_up(keys) if table else np.zeros(len(keys), np.int64)
-                top = (n > 0) & (n == best[keys % len(best)])
-
-                def sums(x):
-                    total = np.concatenate([[0], np.cumsum(x)])
-                    return np.diff(total[np.concatenate([[0], ends])])
-
-                per_entry = [*(np.array([e[k] for e in got.entries], np.int64) for k in range(3)),
-                             np.diff(np.concatenate([[0], ends])), sums(top), sums(n)]
-                lines = [e[4] for e in got.entries]
-                digests = [sha256(";".join([lines[i] for i in got.stretches[b:e]]).encode()).hexdigest() if e > b else ""
-                           for b, e in zip(got.begin.tolist(), got.end.tolist())]
+                got = _aligned(texts[low:high], aligner, with_pieces=True)
+                n = table.look_up(got.keys) if table else np.zeros(len(got.keys), np.int64)
+                top = (n > 0) & (n == best[got.keys % len(best)])
+                per_stretch = [*got.counts, got.per_stretch(top), got.per_stretch(n)]
                 rows = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), *(pa.array(got.per_text(x), pa.int64()) for x in per_entry), pa.array(digests, pa.string())],
+                    [rows.column(0), rows.column(1), *(pa.array(got.per_text(x), pa.int64()) for x in per_stretch),
+                     pa.array(got.digests(), pa.string())],
                     ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
     return docs.select("row", "doc_id", "text").mapInArrow(run, "row long, " + DIGEST)
