@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from offerloom.functions.text import clean_tokens, each, ngrams_1_2, tokenize, words
-from offerloom.operators import cooccurrence, density, models, similarity
+from offerloom.operators import cooccurrence, density, embeddings, models, similarity
 from offerloom.operators.ranking import top_per_group
 from offerloom.operators.tfidf import (explode_vector, fit_tfidf, group_terms, regional_terms, specialisation)
 from offerloom.plans.aggregations import CLEAN_SQL
@@ -321,11 +321,18 @@ def vocabulary_docs(spark, d):
 
 
 def word_model(spark, d):
-    return models.fit_word2vec(vocabulary_docs(spark, d), "tokens")
+    return embeddings.fit(vocabulary_docs(spark, d), "tokens")
 
 
 def vectors_of_words(spark, d):
-    return models.word_vectors(word_model(spark, d))
+    return word_model(spark, d).vectors()
+
+
+def paragraph_model(spark, d):
+    """Words learned with a vector of every document in its windows, and the documents' vectors against them."""
+    docs = vocabulary_docs(spark, d)
+    model = embeddings.fit(docs, "tokens", documents=True)
+    return model, embeddings.infer(model, docs, "doc_id", "tokens")
 
 
 def frequent_words(spark, d, n):
@@ -404,7 +411,7 @@ def word_clusters(spark, d):
 
 @query("doc_vectors")
 def doc_vectors_query(spark, d):
-    return models.document_vectors(word_model(spark, d), vocabulary_docs(spark, d), "doc_id", "tokens")
+    return paragraph_model(spark, d)[1]
 
 
 @query("similar_docs", """WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 7)
@@ -419,9 +426,8 @@ def similar_docs(spark, d):
 @query("similar_to_text")
 def similar_to_text(spark, d):
     """Documents nearest to one conversation message."""
-    model = word_model(spark, d)
-    rows = models.document_vectors(model, vocabulary_docs(spark, d), "doc_id", "tokens")
+    model, rows = paragraph_model(spark, d)
     message = table(spark, d, "conversations").where((F.col("conv_id") == 0) & (F.col("turn") == 0)) \
         .select("conv_id", tokenize(F.col("text")).alias("tokens"))
-    wanted = models.document_vectors(model, message, "conv_id", "tokens").agg(F.first("vector")).scalar()
+    wanted = embeddings.infer(model, message, "conv_id", "tokens").agg(F.first("vector")).scalar()
     return similarity.nearest(rows, "doc_id", "vector", wanted, 10)

@@ -267,13 +267,6 @@ def test_kmeans_is_repeatable(spark):
     assert -1 <= models.silhouette(models.fit_kmeans(vectors, 3, restarts=1).transform(vectors)).first()[0] <= 1
 
 
-def test_word_vectors_check_their_size(spark, monkeypatch):
-    docs = spark.createDataFrame([(["a", "b", "a", "b"],)], "tokens array<string>")
-    monkeypatch.setattr(models, "MAX_WORD_VECTORS", 1)
-    with pytest.raises(ValueError):
-        models.fit_word2vec(docs, "tokens", min_count=1)
-
-
 def test_stream_drops_repeats_across_restarts(spark):
     source, target = scratch_path(spark, "test-stream-in"), scratch_path(spark, "test-stream-out")
     schema = "uid string, ts timestamp"
