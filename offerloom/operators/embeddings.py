@@ -43,7 +43,7 @@ class Training:
     sample: float = 1e-3
     stretch: int = 512
     pool: int = 64
-    shard_tokens: int = 1 << 18
+    shard_tokens: int = 1 << 17
     seed: int = 42
 
 
