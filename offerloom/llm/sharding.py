@@ -1,7 +1,7 @@
 """Shards of near-equal bytes by histogram sort.
 
-Every row gets a sort key whose high bits hash the text and whose low bits hash the id: equal texts lie side by
-side, and even a group of copies that holds a third of all rows can be cut. Splitters are found by probing: each
+Every row gets a sort key whose high bits hash the text, whose middle bits hash the id and whose low bits hash a row number:
+equal texts lie side by side, and even a group of copies that holds a third of all rows, with ids or without, can be cut. Splitters are found by probing: each
 round counts, over all rows, the exact bytes below the candidate boundaries of every open interval, and narrows
 the interval around the target. Rows then cross the network once, to their place in the order.
 """
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from offerloom.llm.common import free_name, stored
 
 KEY_BITS = 63
-TEXT_BITS = 40
+ID_BITS = 15
+ROW_BITS = 14
 ROW_BYTES = 16
 
 
@@ -29,9 +30,11 @@ def row_size(text: Column) -> Column:
 
 
 def sort_key(text: Column, doc_id: Column) -> Column:
-    low = KEY_BITS - TEXT_BITS
-    return F.shiftleft(F.shiftrightunsigned(F.xxhash64(text), 64 - TEXT_BITS), low).bitwiseOR(
-        F.shiftrightunsigned(F.xxhash64(doc_id), 64 - low))
+    """Differs by row, so it holds only in a table that was stored with it."""
+    def bits(n: int, *parts: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(*parts), 64 - n)
+    return F.shiftleft(bits(KEY_BITS - ID_BITS - ROW_BITS, text), ID_BITS + ROW_BITS).bitwiseOR(
+        F.shiftleft(bits(ID_BITS, doc_id), ROW_BITS)).bitwiseOR(bits(ROW_BITS, F.monotonically_increasing_id()))
 
 
 def _below(table: DataFrame, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,12 +90,12 @@ def shard(docs: DataFrame, key: Column, size: Column, shards: int = 40, piece_by
 
     Law `bytes`: shard sizes are equal up to ``tolerance`` of a shard plus the rows that share one key. A shard is
     dealt as several pieces (about ``piece_bytes`` each, at most ``most_pieces`` in all), so that no task sorts a
-    whole shard. Null ids and texts hash like any value; repeated rows share a key and get neighbouring slots; an
-    empty table stays empty. Columns named shard or slot are replaced.
+    whole shard. Null ids and texts hash like any value; repeated rows lie side by side, but a boundary may cut them; an
+    empty table stays empty. Columns named shard or slot are replaced. The rows are stored once with their keys.
     """
     k, b, p, o = (free_name(docs, x) for x in ("__key", "__size", "__piece", "__first"))
-    keyed = docs.withColumns({k: key, b: size})
-    table = stored(keyed.select(F.col(k).alias("key"), F.col(b).alias("size")), "shard-keys")
+    keyed = stored(docs.withColumns({k: key, b: size}), "shard-keys")
+    table = keyed.select(F.col(k).alias("key"), F.col(b).alias("size"))
     total = table.agg(F.sum("size")).first()[0] or 0
     per_shard = int(min(max(1, -(-total // (shards * piece_bytes))), max(1, most_pieces // shards)))
     splitters = find_splitters(table, shards * per_shard, tolerance / per_shard)
