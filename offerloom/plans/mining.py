@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from offerloom.functions.text import clean_tokens, each, ngrams_1_2, tokenize, words
-from offerloom.operators import cooccurrence, density, embeddings, models, similarity
+from offerloom.operators import agglomeration, cooccurrence, density, embeddings, models, similarity
 from offerloom.operators.ranking import top_per_group
 from offerloom.operators.tfidf import (explode_vector, fit_tfidf, group_terms, regional_terms, specialisation)
 from offerloom.plans.aggregations import CLEAN_SQL
@@ -185,25 +185,18 @@ def kmeans_offers(spark, d):
 
 
 @query("silhouette", """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-x AS (SELECT label, unnest(v) AS value, generate_subscripts(v, 1) AS i FROM e),
-t AS (SELECT label, i, sum(value) AS total FROM x GROUP BY ALL),
-c AS (SELECT label AS k, count(*) AS n, sum(list_dot_product(v, v)) AS squares FROM e GROUP BY label),
-m AS (SELECT k, n, squares, sums FROM c JOIN (SELECT label AS k, list(total ORDER BY i) AS sums FROM t GROUP BY label) USING (k)),
-g AS (SELECT vec_id, label, k, n, n * list_dot_product(v, v) + squares - 2 * list_dot_product(v, sums) AS far FROM e, m),
-s AS (SELECT vec_id, max(n) FILTER (k = label) AS own, max(far / nullif(n - 1, 0)) FILTER (k = label) AS a,
-  min(far / n) FILTER (k <> label) AS b FROM g GROUP BY vec_id)
-SELECT round(avg(CASE WHEN own = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""")
+m AS (SELECT x.vec_id, x.label, y.label AS k, avg(list_distance(x.v, y.v)) AS far FROM e x JOIN e y ON x.vec_id <> y.vec_id GROUP BY ALL),
+s AS (SELECT vec_id, max(far) FILTER (k = label) AS a, min(far) FILTER (k <> label) AS b FROM m GROUP BY vec_id)
+SELECT round(avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""")
 def silhouette(spark, d):
     """Embedding labels as given clusters."""
-    from pyspark.ml.functions import array_to_vector
-    given = table(spark, d, "embeddings").select(
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), F.col("label").alias("cluster_id"))
-    return models.silhouette(given).select(F.round("silhouette", 6).alias("silhouette"))
+    given = table(spark, d, "embeddings").select(F.col("embedding").alias("features"), F.col("label").alias("cluster_id"))
+    return agglomeration.silhouette(given).select(F.round("silhouette", 6).alias("silhouette"))
 
 
 @query("silhouette_fitted")
 def silhouette_fitted(spark, d):
-    return models.silhouette(clustered(doc_vectors(spark, d)[1]))
+    return agglomeration.silhouette(clustered(doc_vectors(spark, d)[1]))
 
 
 @query("pca_2d")
@@ -233,7 +226,7 @@ def cluster_assignments_fitted(spark, d):
 @query("hierarchical_clusters")
 def hierarchical_clusters(spark, d):
     _, vectors = doc_vectors(spark, d)
-    return models.fit_bisecting(vectors, 6).transform(vectors).select("doc_id", "cluster_id")
+    return agglomeration.Ward(vectors, 6).transform(vectors).select("doc_id", "cluster_id")
 
 
 @query("density_clusters")

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from offerloom.functions.text import normalize_skill_text
-from offerloom.operators import aggregates, cooccurrence, models, ranking, search, skills as sk, warehouse as wh
+from offerloom.operators import aggregates, agglomeration, cooccurrence, models, ranking, search, skills as sk, warehouse as wh
 from offerloom.operators.tfidf import fit_tfidf, regional_terms
 from offerloom.plans.unify import unify_all, unify_b
 from offerloom.session import scratch_path
@@ -264,7 +264,7 @@ def test_kmeans_is_repeatable(spark):
     runs = [sorted((r["id"], r["cluster_id"]) for r in models.fit_kmeans(vectors, 3, restarts=2).transform(vectors).collect())
             for _ in range(2)]
     assert runs[0] == runs[1] and len({c for _, c in runs[0]}) == 3
-    assert -1 <= models.silhouette(models.fit_kmeans(vectors, 3, restarts=1).transform(vectors)).first()[0] <= 1
+    assert -1 <= agglomeration.silhouette(models.fit_kmeans(vectors, 3, restarts=1).transform(vectors)).first()[0] <= 1
 
 
 def test_stream_drops_repeats_across_restarts(spark):
