@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from offerloom.functions.text import clean_tokens, each, ngrams_1_2, tokenize, words
-from offerloom.operators import agglomeration, cooccurrence, density, embeddings, models, similarity
+from offerloom.operators import agglomeration, cooccurrence, density, embeddings, models, neighbourhoods, similarity
 from offerloom.operators.ranking import top_per_group
 from offerloom.operators.tfidf import (explode_vector, fit_tfidf, group_terms, regional_terms, specialisation)
 from offerloom.plans.aggregations import CLEAN_SQL
@@ -231,6 +231,13 @@ def hierarchical_clusters(spark, d):
 
 @query("density_clusters")
 def density_clusters(spark, d):
+    """In the space of the TF-IDF rows."""
+    return neighbourhoods.density_clusters(doc_vectors(spark, d)[1], "doc_id", eps=0.5, min_points=5)
+
+
+@query("density_clusters_plane")
+def density_clusters_plane(spark, d):
+    """In the plane of the two principal components."""
     _, vectors = doc_vectors(spark, d)
     points = models.Projection(vectors).transform(vectors).select("doc_id", "coord_x", "coord_y")
     return density.density_clusters(points, "doc_id", "coord_x", "coord_y", eps=0.05, min_points=5)
