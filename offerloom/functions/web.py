@@ -20,7 +20,7 @@ REMOTE_PATTERNS = (
     ("no", r"(?iuU)\bpas de télétravail\b"),
 )
 RELATIVE_DATE_PATTERN = (
-    r"(?iuU)\b(il y a \d+ (?:jours|jour|heures|heure|minutes|minute)|moins d'une heure)\b")
+    r"(?iuU)\b(il y a \d+ (?:jour|jours|heure|heures|minute|minutes)|moins d'une heure)\b")
 OFFER_ID_PATTERN = r"/emplois/(\d+)\.html"
 
 # Path segment per search mode.

@@ -208,6 +208,40 @@ def new_offers(incoming: DataFrame, existing: DataFrame, seq: str) -> DataFrame:
     return batch.join(existing.select("uid"), "uid", "left_anti")
 
 
+#: Name and key of the dimensions that a contributed offer may extend, and the other columns of a new row.
+GROWING = {
+    "dim_source": ("source_name", "source_key", {"source_type": "manual"}),
+    "dim_region": ("region_name", "region_key", {"latitude": 0.0, "longitude": 0.0}),
+    "dim_company": ("company_name", "company_key", {}),
+    "dim_contract": ("contract_type", "contract_key", {}),
+    "dim_skill": ("skill_name", "skill_key", SKILL_DEFAULTS),
+}
+
+
+def new_names(tables: Mapping[str, DataFrame], names: Mapping[str, DataFrame]) -> DataFrame:
+    """(dim, name, key) of the names that no dimension has yet, numbered on from each dimension's last key.
+
+    One pass serves all dimensions; the order within a dimension is that of ``numbered``.
+    """
+    def union(parts: list[DataFrame]) -> DataFrame:
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    known = union([tables[t].select(F.lit(t).alias("dim"), F.col(n).cast("string").alias("name"), F.col(k).cast("bigint").alias("key"))
+                   for t, (n, k, _) in GROWING.items()])
+    wanted = union([df.select(F.lit(t).alias("dim"), F.col(GROWING[t][0]).cast("string").alias("name")) for t, df in names.items()])
+    fresh = wanted.where("name IS NOT NULL").distinct().join(known.select("dim", "name"), ["dim", "name"], "left_anti") \
+        .withColumn("h", F.md5("name")).withColumn("b", F.substring("h", 1, KEY_DIGITS))
+    local = fresh.withColumn("i", F.row_number().over(W.partitionBy("dim", "b").orderBy("h", "name")))
+    sizes = fresh.groupBy("dim", "b").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select("dim", "b", (F.sum("n").over(W.partitionBy("dim").orderBy("b")) - F.col("n")).alias("o"))
+    starts = known.groupBy("dim").agg(F.max("key").alias("start"))  # one row per dimension
+    return local.join(offsets, ["dim", "b"]).join(F.broadcast(starts), "dim", "left").select(
+        "dim", "name", (F.coalesce("start", F.lit(0)) + F.col("o") + F.col("i")).cast("bigint").alias("key"))
+
+
 def upsert(tables: Mapping[str, DataFrame], incoming: DataFrame, seq: str, now: Column) -> dict[str, DataFrame]:
     """All tables after a batch of contributed offers."""
     return {name: tables[name].unionByName(rows) for name, rows in upsert_rows(tables, incoming, seq, now).items()}
@@ -218,37 +252,39 @@ def upsert_rows(tables: Mapping[str, DataFrame], incoming: DataFrame, seq: str,
 
     Needs dim_source, dim_region, dim_company, dim_contract, dim_skill, fact_offers and
     fact_offer_skill; the caller appends the result as one snapshot, which makes the
-    batch all-or-nothing.  The new offers and names feed several tables, so they are checkpointed.
+    batch all-or-nothing. Which offers are new and what their names resolve to is found on
+    narrow columns, which are checkpointed; the texts meet the result once. Rows that share uid and ``seq`` count as one.
     """
-    fresh = new_offers(incoming, tables["fact_offers"], seq).select(
-        "*", F.coalesce("source", F.lit("manual")).alias("source_name"),
-        F.coalesce("region_name", F.lit("Unknown")).alias("__region"),
-        F.coalesce("company_name", F.lit("Unknown")).alias("__company"),
-        F.coalesce("contract_type", F.lit("Unknown")).alias("__contract"))
+    unknown = F.lit("Unknown")
+    uid = content_uid(F.col("title"), F.col("company_name"), F.col("location"))
+    narrow = incoming.select(seq, "title", "company_name", "location", "all_skills", F.coalesce("source", F.lit("manual")).alias("source_name"),
+                             F.coalesce("region_name", unknown).alias("region"), F.coalesce("company_name", unknown).alias("company"),
+                             F.coalesce("contract_type", unknown).alias("contract"))
+    fresh = new_offers(narrow, tables["fact_offers"], seq).drop("title", "company_name", "location")
     start = F.coalesce(tables["fact_offers"].agg(F.max("offer_key")).scalar(), F.lit(0))
     keyed = materialize(numbered(fresh, "uid", "offer_key", start))
-    added, dims = {}, {}
-
-    def grow(table: str, names: DataFrame, name: str, key: str, defaults: Mapping[str, Column] | None = None) -> None:
-        added[table] = materialize(created(tables[table], names, name, key, defaults))
-        dims[table] = tables[table].unionByName(added[table])
-
-    grow("dim_source", keyed, "source_name", "source_key", {"source_type": F.lit("manual")})
-    grow("dim_region", keyed.select(F.col("__region").alias("region_name")), "region_name", "region_key",
-         {"latitude": F.lit(0.0), "longitude": F.lit(0.0)})
-    grow("dim_company", keyed.select(F.col("__company").alias("company_name")), "company_name", "company_key")
-    grow("dim_contract", keyed.select(F.col("__contract").alias("contract_type")), "contract_type", "contract_key")
     named = named_skills(keyed, "offer_key", "all_skills")
-    grow("dim_skill", named, "skill_name", "skill_key", {k: F.lit(v) for k, v in SKILL_DEFAULTS.items()})
-    links = named.join(dims["dim_skill"].select("skill_name", "skill_key"), "skill_name") \
-        .select("offer_key", "skill_key").distinct()
+    names = {"dim_source": keyed.select("source_name"), "dim_region": keyed.select(F.col("region").alias("region_name")),
+             "dim_company": keyed.select(F.col("company").alias("company_name")),
+             "dim_contract": keyed.select(F.col("contract").alias("contract_type")), "dim_skill": named.select("skill_name")}
+    created_names = materialize(new_names(tables, names))
+
+    added, keys = {}, {}
+    for t, (name, key, defaults) in GROWING.items():
+        own = created_names.where(F.col("dim") == t).select(F.col("name").alias(name), F.col("key").alias(key))
+        keys[t] = tables[t].select(name, key).unionByName(own)
+        added[t] = own.withColumns({c: F.lit(v) for c, v in defaults.items()}).select(*tables[t].columns) if defaults else own.select(*tables[t].columns)
+    links = named.join(keys["dim_skill"], "skill_name").select("offer_key", "skill_key").distinct()
     counts = links.groupBy("offer_key").agg(F.count(F.lit(1)).cast("int").alias("skills_count"))
-    rows = keyed.drop("skills_count").join(counts, "offer_key", "left") \
-        .join(dims["dim_source"].select("source_name", "source_key"), "source_name", "left") \
-        .join(dims["dim_region"].select(F.col("region_name").alias("__region"), "region_key"), "__region", "left") \
-        .join(dims["dim_company"].select(F.col("company_name").alias("__company"), "company_key"), "__company", "left") \
-        .join(dims["dim_contract"].select(F.col("contract_type").alias("__contract"), "contract_key"),
-              "__contract", "left")
+    resolved = keyed.select(seq, "uid", "offer_key", "source_name", F.col("region").alias("region_name"), F.col("company").alias("company_name"),
+                            F.col("contract").alias("contract_type"))
+    for t in ("dim_source", "dim_region", "dim_company", "dim_contract"):
+        resolved = resolved.join(keys[t], GROWING[t][0], "left")
+    resolved = resolved.join(counts, "offer_key", "left").select(
+        F.col(seq).alias("own_seq"), F.col("uid").alias("own_uid"), "offer_key", "source_key", "region_key", "company_key", "contract_key", "skills_count")
+    texts = incoming.select(seq, uid.alias("uid"), "offer_id", "title", "url", "location", "salary", "remote", "description") \
+        .dropDuplicates([seq, "uid"])
+    rows = texts.join(resolved, F.col(seq).eqNullSafe(F.col("own_seq")) & (F.col("uid") == F.col("own_uid")))
     today = F.to_date(now)
     fact_rows = rows.select(
         "offer_key", "uid", F.coalesce("offer_id", "uid").alias("offer_id"), "source_key", "region_key",

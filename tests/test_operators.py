@@ -328,3 +328,28 @@ def test_streamed_upsert_equals_one_batch(spark):
     whole = {r["uid"] for r in wh.upsert(tables, batch, "seq", now)["fact_offers"].collect()}
     assert streamed == whole and len(streamed) == 2
     assert current_version(spark, root)[0] >= 2
+
+
+def test_upsert_resolves_names_in_one_pass(spark):
+    """New names number on from each dimension; rows without seq or names find their texts; copies count once."""
+    dims = {"dim_source": ("a", 4, "api"), "dim_region": ("Sud", 2, 1.0, 2.0), "dim_company": ("acme", 9), "dim_contract": ("CDI", 1), "dim_skill": ("sql", 3, "competences", "t")}
+    columns = {"dim_source": "source_name string, source_key long, source_type string", "dim_region": "region_name string, region_key long, latitude double, longitude double",
+               "dim_company": "company_name string, company_key long", "dim_contract": "contract_type string, contract_key long",
+               "dim_skill": "skill_name string, skill_key long, skill_type string, skill_category string"}
+    tables = {t: spark.createDataFrame([row], columns[t]) for t, row in dims.items()}
+    tables["fact_offers"] = spark.createDataFrame([], "offer_key long, uid string")
+    tables["fact_offer_skill"] = spark.createDataFrame([], "offer_key long, skill_key long")
+    schema = ("seq long, offer_id string, title string, company_name string, location string, source string, region_name string, contract_type string, "
+              "url string, salary string, remote string, description string, all_skills string")
+    rows = [(1, None, "t1", "acme", "x", "a", "Sud", "CDI", None, None, None, "d1", "sql,spark"), (2, None, "t1", "acme", "x", "b", None, None, None, None, None, "later copy", "sql"),
+            (None, None, "t2", None, "y", None, None, "CDD", None, None, "yes", "d2", None), (3, None, "t3", "zeta", "y", "a", "Nord", "CDI", None, None, None, "d3", "go,go, spark")]
+    out = wh.upsert_rows(tables, spark.createDataFrame(rows, schema), "seq", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+    fact = {r["description"]: r for r in out["fact_offers"].collect()}
+    assert set(fact) == {"d1", "d2", "d3"} and sorted(r["offer_key"] for r in fact.values()) == [1, 2, 3]
+    assert (fact["d1"]["source_key"], fact["d1"]["region_key"], fact["d1"]["company_key"], fact["d1"]["contract_key"]) == (4, 2, 9, 1)
+    names = {t: {r[0]: r[1] for r in out[t].collect()} for t in dims}
+    assert set(names["dim_company"]) == {"Unknown", "zeta"} and sorted(names["dim_company"].values()) == [10, 11]
+    assert names["dim_contract"] == {"CDD": 2} and set(names["dim_source"]) == {"manual"} and set(names["dim_region"]) == {"Unknown", "Nord"}
+    assert set(names["dim_skill"]) == {"spark", "go"} and [r["skills_count"] for r in (fact["d1"], fact["d2"], fact["d3"])] == [2, 0, 2]
+    assert fact["d2"]["company_key"] == names["dim_company"]["Unknown"]
+    assert out["fact_offer_skill"].count() == 4
