@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from offerloom.functions.text import fold_place
-from offerloom.operators import aggregates, joins, ranking
+from offerloom.operators import aggregates, joins, lists, ranking
 from offerloom.plans.bindings import (LOCATIONS, REGIONS, bridge, companies, links, offers, pick, pick_sql, quoted,
                                       regions, skills, table, with_roles)
 from offerloom.plans.registry import query
@@ -92,10 +92,9 @@ def _city_cases(value: str) -> str:
 @query("substring_theta_join", f"SELECT o_orderkey AS offer_key, {_city_cases(pick_sql('o_orderkey', LOCATIONS))} AS region FROM orders")
 def substring_theta_join(spark, d):
     rows = offers(spark, d, with_company=False)
-    entries = [(c, r) for c, r in CITIES]
+    entries = spark.createDataFrame([(_fold_text(c), i, r) for i, (c, r) in enumerate(CITIES)], "entry string, rank long, region string")
     folded = rows.select("offer_key", fold_place(F.col("location")).alias("place"))
-    folded_entries = [(_fold_text(c), r) for c, r in entries]
-    return folded.select("offer_key", joins.first_containing(F.col("place"), folded_entries).alias("region"))
+    return lists.first_in_list(folded, "place", entries, ["region"]).select("offer_key", "region")
 
 
 def _fold_text(name: str) -> str:

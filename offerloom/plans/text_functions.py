@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from offerloom.functions import geo, offers as fo, text, web
-from offerloom.operators import labels, skills as sk
+from offerloom.operators import labels, lists, skills as sk
 from offerloom.operators.tfidf import group_terms
 from offerloom.plans.bindings import (COMPANIES, DEPARTMENTS, JOB_CATEGORIES, LEXICON, LEXICON_ENTRIES, LOCATIONS,
                                       REGIONS, STOP_WORDS, TITLES, documents, pick, pick_sql, quoted, skills, sql_list,
@@ -146,14 +146,28 @@ def _region_values(attribute):
     return tuple(None if i is None else getattr(REGIONS[i], attribute) for i in LOCATION_REGION)
 
 
-@query("geo_region", f"""{ORDERS_KEY}{pick_sql(K, _region_values('name'))} AS region,
+GEO_SQL = (f"""{ORDERS_KEY}{pick_sql(K, _region_values('name'))} AS region,
   CAST({pick_sql(K, _region_values('lat'))} AS DOUBLE) AS lat, CAST({pick_sql(K, _region_values('lon'))} AS DOUBLE) AS lon
 FROM orders""")
+
+
+@query("geo_region", GEO_SQL)
 def geo_region(spark, d):
     located = keyed(spark, d, geo.geo_region(pick(K, LOCATIONS), REGIONS, DEPARTMENTS).alias("g"))
     return located.select("offer_key", "g.region", "g.lat", "g.lon")
 
 
+@query("geo_region_listed", GEO_SQL)
+def geo_region_listed(spark, d):
+    """The reference as tables, which may be of any size."""
+    rows = [(c, "city", r.name, r.lat, r.lon) for r in REGIONS for c in r.cities] + [(r.name, "region", r.name, r.lat, r.lon) for r in REGIONS]
+    places = spark.createDataFrame([(p, k, n, float(x), float(y), i) for i, (p, k, n, x, y) in enumerate(rows)],
+                                   "place string, kind string, region string, lat double, lon double, rank long")
+    codes = spark.createDataFrame(list(DEPARTMENTS.items()), "code string, region string")
+    located = keyed(spark, d, pick(K, LOCATIONS).alias("location"))
+    return lists.locate(located, "location", places, codes).drop("location")
+
+
 @query("normalize_skill_text", r"""SELECT doc_id, trim(regexp_replace(regexp_replace(text || '  N.L.P  et A.B.C.D', '\s+', ' ', 'g'),
   '([A-Z])\.([A-Z])\.([A-Z])', '\1\2\3', 'g')) AS normalized FROM documents""")
 def normalize_skill_text(spark, d):
