@@ -22,6 +22,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+PIECE = 256
 #: Bits per character from which a window is suspicious: hexadecimal digits, letters and digits, any candidate characters.
 HEX_BITS, PLAIN_BITS, ANY_BITS = 3.0, 3.7, 3.9
 #: Strings that are known not to be secrets.
@@ -31,11 +32,19 @@ SPAN = "struct<start:int,kind:int,end:int>"
 NO_SPANS = f"array<{SPAN}>"
 
 
+def _pieces(values: Column) -> Column:
+    """An array in pieces of PIECE elements: what appends to a list copies it, so lists are kept short."""
+    last = F.floor((F.greatest(F.size(values), F.lit(1)) - 1) / PIECE).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(values, k * PIECE + 1, PIECE))
+
+
 def _spans(text: Column, pattern: str, kind: int) -> Column:
     """Code-point spans of all matches of the pattern, in order: what lies between matches is what splitting leaves."""
     between, found = F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     lengths = F.arrays_zip(F.transform(between, F.length).alias("gap"), F.transform(found, F.length).alias("match"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(NO_SPANS).alias("spans"))
+
+    def total(acc: Column, x: Column) -> Column:
+        return acc + x["gap"] + F.coalesce(x["match"], F.lit(0))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
@@ -43,7 +52,24 @@ def _spans(text: Column, pattern: str, kind: int) -> Column:
         span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
         return F.struct(end.alias("at"), F.when(x["match"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span))).alias("spans"))
 
-    return F.aggregate(lengths, start, step, lambda acc: acc["spans"])
+    def located(pieces: Column) -> Column:
+        """Where each piece begins, then the spans inside it."""
+        sizes = F.transform(pieces, lambda p: F.aggregate(p, F.lit(0), total))
+        begins = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        none = F.array().cast(NO_SPANS)
+        return F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), begins.alias("at")), lambda x: F.when(x["piece"].isNull(), none).otherwise(
+            F.aggregate(x["piece"], F.struct(x["at"].alias("at"), none.alias("spans")), step, lambda acc: acc["spans"]))))
+
+    # one-element arrays bind what is used several times
+    return F.transform(F.array(F.transform(F.array(lengths), _pieces)[0]), located)[0]
+
+
+def _apart(hot: Column, base: Column) -> Column:
+    """The spans of ``hot`` that overlap none of ``base``; pieces of the base are skipped by their bounds."""
+    bounded = F.transform(_pieces(base), lambda p: F.struct(
+        F.array_min(F.transform(p, lambda s: s["start"])).alias("low"), F.array_max(F.transform(p, lambda s: s["end"])).alias("high"), p.alias("spans")))
+    return F.transform(F.array(bounded), lambda pieces: F.filter(hot, lambda h: ~F.exists(pieces, lambda p: F.coalesce(
+        (p["low"] < h["end"]) & (h["start"] < p["high"]), F.lit(False)) & F.exists(p["spans"], lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])))))[0]
 
 
 def _long_enough(text: Column, pattern: str, kind: int, least: int, group: int = 0) -> Column:
@@ -123,8 +149,7 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     pairs = F.filter(F.arrays_zip(_spans(raw, CANDIDATE, 3).alias("span"), strings.alias("string")), lambda p: suspect(p["string"]))
     parts = F.flatten(F.transform(pairs, lambda p: _hot_parts(p["string"], p["span"]["start"])))
     hot = F.when(F.exists(strings, suspect), parts).otherwise(none)
-    new = F.filter(hot, lambda h: ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])))
-    return based.withColumn("spans", F.array_sort(F.concat("base", new)))
+    return based.withColumn("spans", F.array_sort(F.concat("base", _apart(hot, F.col("base")))))
 
 
 def _listed(spans: str) -> Column:
