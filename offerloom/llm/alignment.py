@@ -10,9 +10,10 @@ look-up. A second pass aligns the documents again and looks their counts up.
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
@@ -29,6 +30,8 @@ from offerloom.llm.common import stored
 
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+#: Fixed value: how byte-level vocabularies of this kind cut a text before they merge.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The begin mark of pieces, which stands for a space.
 MARK = "▁"
 #: Neither vocabulary has a token that ends a stretch and begins the next one at such a space.
@@ -55,13 +58,11 @@ class Aligner:
 
     def __init__(self, a_json: bytes, b_model: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a_json.decode())
-        self.a.encode_special_tokens = True
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        spec, letters = json.loads(a_json), _byte_of_letter()
+        self.encode_a = _ranked(spec, letters) or _whole(a_json)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
-        letters, vocabulary = _byte_of_letter(), self.a.get_vocab(with_added_tokens=True)
+        vocabulary = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.a_bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
@@ -73,8 +74,31 @@ class Aligner:
                          for tokens, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;"))]
 
     def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return ([e.ids for e in self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)],
-                self.b.encode(stretches, num_threads=1))
+        return self.encode_a([" " + s for s in stretches]), self.b.encode(stretches, num_threads=1)
+
+
+def _ranked(spec: dict, letters: dict[str, int]) -> Callable[[list[str]], list[list[int]]] | None:
+    """An encoder by ranks, for a file whose merges stand in the order of the ids they make and that cuts texts by PATTERN alone."""
+    import tiktoken
+
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    plain = (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex")) == ("ByteLevel", False, True) and not spec.get("normalizer")
+    if not plain or model.get("ignore_merges") or any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    encoding = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda texts: [encoding.encode_ordinary(t) for t in texts]
+
+
+def _whole(a_json: bytes) -> Callable[[list[str]], list[list[int]]]:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(a_json.decode())
+    tokenizer.encode_special_tokens = True
+    return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=1)
