@@ -32,6 +32,9 @@ A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Fixed value: how byte-level vocabularies of this kind cut a text before they merge.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A run of white space on which PATTERN would go back too far; texts with one are left to the encoder of the file.
+LONG_RUN = 65_536
+BLANKS = re.compile(r"(?<!\s)\s{%d}" % LONG_RUN)
 #: The begin mark of pieces, which stands for a space.
 MARK = "▁"
 #: Neither vocabulary has a token that ends a stretch and begins the next one at such a space.
@@ -60,7 +63,7 @@ class Aligner:
         import sentencepiece
 
         spec, letters = json.loads(a_json), _byte_of_letter()
-        self.encode_a = _ranked(spec, letters) or _whole(a_json)
+        self.encode_a = _ranked(spec, letters, a_json) or _whole(a_json)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         vocabulary = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
@@ -77,7 +80,7 @@ class Aligner:
         return self.encode_a([" " + s for s in stretches]), self.b.encode(stretches, num_threads=1)
 
 
-def _ranked(spec: dict, letters: dict[str, int]) -> Callable[[list[str]], list[list[int]]] | None:
+def _ranked(spec: dict, letters: dict[str, int], a_json: bytes) -> Callable[[list[str]], list[list[int]]] | None:
     """An encoder by ranks, for a file whose merges stand in the order of the ids they make and that cuts texts by PATTERN alone."""
     import tiktoken
 
@@ -89,7 +92,12 @@ def _ranked(spec: dict, letters: dict[str, int]) -> Callable[[list[str]], list[l
     special = {t["content"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
     encoding = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda texts: [encoding.encode_ordinary(t) for t in texts]
+    whole = lru_cache(maxsize=1)(lambda: _whole(a_json))
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [whole()([t])[0] if len(t) >= LONG_RUN and BLANKS.search(t) else encoding.encode_ordinary(t) for t in texts]
+
+    return encode
 
 
 def _whole(a_json: bytes) -> Callable[[list[str]], list[list[int]]]:

@@ -93,6 +93,13 @@ def test_every_character_is_cut_as_the_file_says(aligner, whole):
         assert alignment._whole(f.read())(texts[:99]) == aligner.encode_a(texts[:99])
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\u3000", "a", "^"])
+@pytest.mark.parametrize("length", [alignment.LONG_RUN - 2, alignment.LONG_RUN + 2, 1_500_000])
+def test_very_long_runs_encode_as_the_file_says(aligner, whole, run, length):
+    texts = [" " + run * length, " x" + run * length + "y z"]
+    assert aligner.encode_a(texts) == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_no_token_crosses_a_cut(aligner):
     """The stretches of a text may be encoded alone only if no token joins the end of one and the begin of the next."""
     for tokens in (aligner.a_bytes, aligner.b_bytes):
