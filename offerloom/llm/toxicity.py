@@ -1,7 +1,7 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 A word enters as the sum of its hashed word vector and the mean of its hashed character n-gram vectors. The network
-reads overlapping windows of a text in both directions, pools the states by attention, and scores each window; a text
+reads overlapping windows of a text (each begins in the middle of the one before) in both directions, pools the states by attention, and scores each window; a text
 is as toxic as its most toxic window. Training knows only labels of whole texts: the window that scores highest stands
 for its text.
 """
@@ -15,9 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import held_out, labelled_sample
+from offerloom.llm.common import held_out, labelled_sample, stored
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 WORD_SLOTS, CHAR_SLOTS = 1 << 13, 1 << 14
 DIM, HIDDEN, ATTENTION = 8, 8, 8
 THRESHOLD = 0.7
@@ -269,15 +269,43 @@ def place(net: Network, logits: np.ndarray, y: np.ndarray) -> None:
     net.shift = float(np.mean([edge(i) for i in best]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = 2400, most_chars: int = 100_000) -> Network:
+def hottest(net: Network, text: bytes | None, most: int) -> bytes:
+    """The words of the ``most`` highest-scoring windows of a text, in its order; ties go to the earlier window."""
+    words = split(text)
+    number: dict[bytes, int] = {}
+    ids = np.array([number.setdefault(w, len(number) + 1) for w in words], np.int64)
+    table = np.concatenate([np.zeros((1, 6 * HIDDEN), np.float32), net.project(net.inputs(*word_features(list(number)))).astype(np.float32)])
+    windows, _ = window_ids(ids, np.array([len(words)]))
+    logit = np.concatenate([net.run(table, windows[i:i + BLOCK]) for i in range(0, len(windows), BLOCK)])
+    top = np.sort(np.argsort(-logit, kind="stable")[:most])
+    return b" ".join(w for i in top for w in words[i * STRIDE:i * STRIDE + WINDOW])
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = 2400, most_chars: int = 100_000, long_windows: int = 64) -> Network:
     """Trains on at most ``rows`` labelled documents (half of each label) outside the held-out third.
 
-    Only for training, documents above ``most_chars`` bytes are left out, which bounds what the driver holds.
+    What the driver holds is bounded: of a labelled text above ``most_chars`` bytes a second training takes the
+    ``long_windows`` windows that a network trained on the other texts scores highest, chosen inside Spark tasks.
     """
-    chosen = labelled_sample(docs, labels, "toxic", rows, balanced=True).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= most_chars)
-    found = chosen.select("doc_id", "label", F.col("text").cast("binary").alias("text")).toArrow().to_pylist()
-    found.sort(key=lambda r: (r["doc_id"], r["text"] or b""))
-    return train([r["text"] or b"" for r in found], np.array([r["label"] for r in found], np.float64))
+    chosen = stored(labelled_sample(docs, labels, "toxic", rows, balanced=True)
+                    .select("doc_id", "label", F.col("text").cast("binary").alias("text")), "toxicity-sample")
+    long = F.coalesce(F.octet_length("text"), F.lit(0)) > most_chars
+
+    def trained(found: list[dict]) -> Network:
+        found = sorted(found, key=lambda r: (r["doc_id"], r["text"] or b""))
+        return train([r["text"] or b"" for r in found], np.array([r["label"] for r in found], np.float64))
+
+    short = chosen.where(~long).toArrow().to_pylist()
+    net = trained(short)
+    if chosen.where(long).limit(1).count() == 0:
+        return net
+
+    def pieces(batches):
+        for batch in batches:
+            kept = [hottest(net, t, long_windows) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.binary())], ["doc_id", "label", "text"])
+
+    return trained(short + chosen.where(long).mapInArrow(pieces, chosen.schema).toArrow().to_pylist())
 
 
 def score_batches(net: Network, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
