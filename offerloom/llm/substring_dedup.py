@@ -173,7 +173,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     near = own.join(marked, F.col("own").eqNullSafe(F.col("doc_id")) & (F.col("own_seq") == seq)).select("doc_id", "seq", "single", "text", "marks")
     near = stored(near.dropDuplicates(["doc_id", "seq"]), "substring-texts")
     windows = stored(near.mapInArrow(_windows(window, gram), "h1 long, h2 long, doc_id long, seq long, single boolean, start int"), "substring-windows")
-    repeated = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    # Written, so that the join has an exchange of its own, whose hot keys Spark's skew handling can divide.
+    repeated = stored(windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2"), "substring-repeated")
     starts = windows.where("single").join(repeated, ["h1", "h2"]).groupBy("doc_id", "seq").agg(F.collect_list("start").alias("starts")) \
         .select(F.col("doc_id").alias("d"), F.col("seq").alias("s"), "starts")
     cut = near.join(starts, F.col("doc_id").eqNullSafe(F.col("d")) & (seq == F.col("s"))).select("doc_id", "seq", "text", "starts") \
