@@ -62,6 +62,15 @@ def test_page_reader():
     assert len(_read_page("<div>x" * 100_000)[2]) == 199_999
 
 
+def test_references_that_are_cut_off_stay():
+    from offerloom.sources.pages import _read_page
+    title, shown, _, scripts, _ = _read_page(
+        '<h1>a &amp; b &amp</h1><p>&lt &quot;x&quot; &copynow &nosuch; R&D && &#38; &#x26 \ufdd0</p>'
+        '<script type="application/ld+json">R&D &amp &amp;</script>')
+    assert title == "a & b &amp" and shown == 'a & b &amp &lt "x" &copynow &nosuch; R&D && & & \ufdd0'
+    assert scripts == ["R&D &amp &amp;"]
+
+
 def test_skill_text(spark):
     assert values(spark, text.normalize_skill_text, ["N.L.P  et\nA.B.C.D"]) == ["NLP et ABC.D"]
 
