@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import free_name, labelled_sample
+from offerloom.llm.common import free_name, held_out, labelled_sample, stored
+from offerloom.operators.ranking import top_per_group
 
 MIN_WORDS = 50
 MOST_REPEATED = 50
@@ -166,17 +167,22 @@ def train(x: np.ndarray, y: np.ndarray, trees: int = 200, sample: int = 256, bad
     return Judge(forest, calibrate(forest.score(judge.excess(x)), y, most_lost), low, high)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = 6000) -> Judge:
-    """Trains on at most ``rows`` labelled documents; only their statistics reach the driver."""
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            each = [statistics(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("label"), pa.array([e[0] for e in each], pa.list_(pa.int64())),
-                pa.array([e[1] for e in each], pa.list_(pa.float64()))], ["doc_id", "label", "counts", "features"])
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The statistics in place of the column ``text``."""
+    for batch in batches:
+        each = [statistics(t) for t in batch.column("text").to_pylist()]
+        others = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in others), pa.array([e[0] for e in each], pa.list_(pa.int64())),
+                                          pa.array([e[1] for e in each], pa.list_(pa.float64()))], [*others, "counts", "features"])
+
 
+def fit(docs: DataFrame, labels: DataFrame, rows: int = 6000, points: int = 51_200) -> Judge:
+    """Trains on every labelled document outside the held-out third; up to ``rows`` of them on the driver, more by ``fit_whole``."""
+    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    if known.select("doc_id").distinct().limit(rows + 1).count() > rows:
+        return fit_whole(docs, known.groupBy("doc_id").agg(F.max("quality").cast("int").alias("label")), points)
     chosen = labelled_sample(docs, labels, "quality", rows).select("doc_id", "label", F.col("text").cast("binary").alias("text"))
-    found = chosen.mapInArrow(measure, "doc_id long, label int, counts array<long>, features array<double>").toArrow().to_pylist()
+    found = chosen.mapInArrow(_measure, "doc_id long, label int, counts array<long>, features array<double>").toArrow().to_pylist()
     found = sorted((r for r in found), key=lambda r: (r["doc_id"], r["counts"], r["features"]))
     if not found:
         return Judge(None, np.inf)
@@ -184,6 +190,53 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 6000) -> Judge:
     return train(np.array([r["features"] for r in found])[ok], np.array([r["label"] for r in found])[ok])
 
 
+def _tail(values: DataFrame, share: float, n: int, falling: bool) -> np.ndarray:
+    """Per feature the value that ``share`` of the n rows lie below (above if ``falling``), interpolated as numpy does."""
+    place = share * (n - 1)
+    at = int(place)
+    order = F.desc("v") if falling else F.asc("v")
+    near = top_per_group(values, ["i"], [order], at + 2, rank="rank").where(F.col("rank") > at).collect()
+    value = {(r["i"], r["rank"] - at): r["v"] for r in near}
+    return np.array([value[i, 1] + (place - at) * (value.get((i, 2), value[i, 1]) - value[i, 1]) for i in range(len(FEATURES))])
+
+
+def fit_whole(docs: DataFrame, known: DataFrame, points: int, trees: int = 200, sample: int = 256, bad_share: float = 0.03,
+              outside: float = 0.001, most_lost: float = 0.001, seed: int = 5) -> Judge:
+    """As ``train``, with ranges and cut from all labelled rows without any of them on the driver.
+
+    Only what the trees split is drawn: each takes ``sample`` of ``points`` rows, chosen by hash of the id, as isolation forests
+    do. The driver gets those rows' features and two values per feature and end of its range.
+    """
+    texts = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("hash"), F.col("text").cast("binary").alias("text"))
+    measured = texts.mapInArrow(_measure, "doc_id long, hash long, counts array<long>, features array<double>")
+    one = measured.join(known, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("hash", "counts", "features")).alias("x"))
+    words, repeated = F.get("x.counts", F.lit(0)), F.get("x.counts", F.lit(RULES.index("n_repeat_words")))
+    rows = stored(one.where((words >= MIN_WORDS) & (100 * repeated <= MOST_REPEATED * words))
+                  .select("doc_id", "label", F.col("x.features").alias("features")), "rules")
+    size = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if size.get(1, 0) < 8 or not size.get(0):
+        return Judge(None, np.inf)
+    good, bad = rows.where("label = 1"), rows.where("label = 0")
+    values = good.select(F.posexplode("features").alias("i", "v"))
+    judge = Judge(None, np.inf, _tail(values, outside, size[1], False), _tail(values, outside, size[1], True))
+    luck = [F.xxhash64("doc_id"), F.col("doc_id")]
+    few = max(1, int(bad_share * min(points, size[1])))
+    drawn = good.orderBy(*luck).limit(points).unionByName(bad.orderBy(*luck).limit(few)).toArrow().sort_by([("label", "descending"), ("doc_id", "ascending")])
+    forest = grow(judge.excess(np.array(drawn["features"].to_pylist())), trees, sample, seed)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = judge.excess(np.array(batch.column("features").to_pylist()))
+                yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(forest.score(x))], ["label", "score"])
+
+    scored = stored(rows.mapInArrow(score, "label int, score double"), "rule-scores")
+    top = scored.where("label = 1").orderBy(F.desc("score")).limit(int(most_lost * size[1]) + 1).agg(F.min("score")).first()[0]
+    above = scored.where((F.col("label") == 0) & (F.col("score") > top)).agg(F.min("score")).first()[0]
+    return Judge(forest, np.inf if above is None else (top + above) / 2, judge.low, judge.high)
+
+
 def judged(docs: DataFrame, judge: Judge) -> DataFrame:
     """doc_id, the base counts, base_failed and kept for every row of the input.
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -324,3 +325,17 @@ def test_labelled_sample_bounds_rows_and_not_only_ids(spark):
             assert len(sample) == len({r["doc_id"] for r in sample}) == 10
             runs.append({(r["doc_id"], r["text"], r["label"]) for r in sample})
     assert runs[0] == runs[2] and runs[1] == runs[3]
+
+
+def test_rules_learn_from_all_labelled_rows(spark):
+    rng = np.random.default_rng(4)
+    text = lambda i: " ".join(f"w{rng.integers(0, 40 + i % 60)}{'#' * (20 if i % 10 == 0 else int(rng.integers(0, 3)))}" for _ in range(60 + i % 30))
+    known = spark.createDataFrame([(i, 0 if i % 10 == 0 else 1, 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    rows = spark.createDataFrame([(i, text(i)) for i in range(400)], "doc_id long, text string").cache()
+    whole, dealt = rule_forest.fit(rows, known), rule_forest.fit(rows, known, rows=10)
+    assert dealt.low == pytest.approx(whole.low) and dealt.high == pytest.approx(whole.high)
+    kept = [r for r in rows.join(known, "doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1]
+    each = [rule_forest.statistics(r["text"].encode()) for r in kept]
+    ok = ~rule_forest._base_failed(np.array([e[0] for e in each]))
+    x, y = np.array([e[1] for e in each])[ok], np.array([r["quality"] for r in kept])[ok]
+    assert np.isfinite(dealt.cut) and dealt.cut == pytest.approx(rule_forest.calibrate(dealt.forest.score(dealt.excess(x)), y, 0.001))
