@@ -141,3 +141,27 @@ def test_empty(texts):
     assert model.words.count() == 0
     rare = e.fit(texts.where("doc_id = 902"), "tokens", FAST)
     assert rare.words.count() == 0 and e.infer(rare, texts.limit(3), "doc_id", "tokens").count() == 3
+
+
+def test_shards_grow_before_they_become_many(texts, monkeypatch):
+    """A large corpus is not cut into ever more shards of few tokens, and what the shards return is not written as it is."""
+    t = e.Training()
+    assert [e.shards_of(n, t) for n in (0, 1, 300_000, 3_000_000, 21_600_000, 216_000_000)] == [1, 1, 3, 12, 21, 206]
+    labels, stored = [], e._stored
+    monkeypatch.setattr(e, "_stored", lambda df, label: labels.append(label) or stored(df, label))
+    monkeypatch.setattr(e, "SHARD_WORDS", 6)
+    model = e.fit(texts, "tokens", e.replace(FAST, shard_tokens=1400, rounds=2), documents=True)
+    assert labels.count("shard-words") > 1 and labels.count("learned") == 2 and "returned" not in labels
+    same, other = by_topic({r["word"]: np.array(r["vector"]) for r in model.vectors().collect()})
+    assert same > other + 0.4
+
+
+def test_a_long_text_ascends_as_if_its_scores_were_kept(monkeypatch):
+    rng = np.random.default_rng(6)
+    inner, outer = (rng.normal(size=(30, 6)).astype(np.float32) for _ in "ab")
+    text, pool, t = rng.integers(0, 30, 2 * e.UNIT + 17), np.array([1, 4, 4, 9]), e.Training(size=6, window=2)
+    kept, again = np.zeros((1, 6)), np.zeros((1, 6))
+    e.ascend(inner, outer, [text], pool, kept, t, 6)
+    monkeypatch.setattr(e, "HELD", 0)
+    e.ascend(inner, outer, [text], pool, again, t, 6)
+    assert np.allclose(kept, again) and np.abs(kept).max() > 0
