@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerloom.functions.text import each
@@ -185,6 +185,16 @@ def item_frequency(df: DataFrame, items: Column, n: int | None = None, name: str
     return ordered if n is None else ordered.limit(n)
 
 
+def first_different(df: DataFrame, key: str, cols: Sequence[str], n: int) -> DataFrame:
+    """The first n different rows of each key in the order of the columns, each once.
+
+    Rows are sorted by key and columns once, which spills; no map of all different rows is held.
+    """
+    rank = F.dense_rank().over(Window.partitionBy(key).orderBy(*cols))
+    first = df.select(key, *cols).withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+    return top_per_group(first, [key, *cols], [F.asc(key)], 1)
+
+
 def hierarchy(df: DataFrame, levels: Sequence[str]) -> DataFrame:
     """Counts of every level with the totals of its parents (``depth`` = filled levels)."""
     return df.rollup(*levels).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("__gid")) \
@@ -251,8 +261,10 @@ def region_profile(offers: DataFrame, links: DataFrame, top: int = 5) -> DataFra
     def counted(df: DataFrame, value: str) -> DataFrame:
         return df.where(F.col(value).isNotNull()).groupBy("region_name", value).agg(F.count(F.lit(1)).alias("n"))
 
-    skills = counted(links.where(F.col("region_name").isNotNull())
-                     .select("offer_key", "region_name", "skill_name").distinct(), "skill_name")
+    # each offer's skill once, by sorting, which spills: no map of all offers and skills is held
+    asked = top_per_group(links.where(F.col("region_name").isNotNull()).select("offer_key", "region_name", "skill_name"),
+                          ["offer_key", "region_name", "skill_name"], [F.asc("offer_key")], 1)
+    skills = counted(asked, "skill_name")
     return (located.groupBy("region_name").agg(F.count(F.lit(1)).alias("offers"))
             .join(listed(skills, "skill_name", "top_skills", top), "region_name", "left")
             .join(listed(counted(located, "contract_type"), "contract_type", "contracts", None), "region_name", "left")

@@ -276,8 +276,8 @@ SELECT region_name, contract_type, skill_name, count(*) AS n,
   CAST(3 - GROUPING(region_name) - GROUPING(contract_type) - GROUPING(skill_name) AS INTEGER) AS depth
 FROM r WHERE k <= 3 GROUP BY ROLLUP (region_name, contract_type, skill_name)""")
 def region_skill_hierarchy(spark, d):
-    named = located_links(spark, d).select("offer_key", "region_name", "contract_type", "skill_name").distinct()
-    three = top_per_group(named, ["offer_key"], [F.asc("skill_name")], 3)
+    named = located_links(spark, d).select("offer_key", "region_name", "contract_type", "skill_name")
+    three = agg.first_different(named, "offer_key", ["skill_name", "region_name", "contract_type"], 3)
     return agg.hierarchy(three, ["region_name", "contract_type", "skill_name"])
 
 

@@ -353,3 +353,24 @@ def test_upsert_resolves_names_in_one_pass(spark):
     assert set(names["dim_skill"]) == {"spark", "go"} and [r["skills_count"] for r in (fact["d1"], fact["d2"], fact["d3"])] == [2, 0, 2]
     assert fact["d2"]["company_key"] == names["dim_company"]["Unknown"]
     assert out["fact_offer_skill"].count() == 4
+
+
+def test_first_different_rows_of_a_key(spark):
+    """Against plain Python, with repeated rows, ties and nulls; nothing is gathered by key in a map."""
+    rows = [(1, "b", "x"), (1, "b", "x"), (1, "b", "y"), (1, "a", None), (1, "c", "x"), (2, None, "x"), (2, None, "x"), (None, "a", "x"), (None, "a", "x")]
+    df = spark.createDataFrame(rows, "k long, a string, b string")
+    got = aggregates.first_different(df, "k", ["a", "b"], 3)
+    order = lambda r: tuple((x is not None, x or 0 if i == 0 else x or "") for i, x in enumerate(r))
+    wanted = [r for k in (1, 2, None) for r in sorted({r for r in rows if r[0] == k}, key=order)[:3]]
+    assert sorted(map(tuple, got.collect()), key=order) == sorted(wanted, key=order)
+    assert "HashAggregate" not in got._jdf.queryExecution().toString()
+
+
+def test_region_profile_holds_no_map_of_offers_and_skills(spark):
+    offers = spark.createDataFrame([(k, "north" if k % 2 else "south", "c", k % 3) for k in range(6)],
+                                   "offer_key long, region_name string, contract_type string, company_key long")
+    links = spark.createDataFrame([(k, "north" if k % 2 else "south", s) for k in range(6) for s in ("a", "a", "b")[:1 + k // 2]],
+                                  "offer_key long, region_name string, skill_name string")
+    profile = aggregates.region_profile(offers, links)
+    assert {r["region_name"]: list(r["top_skills"]) for r in profile.collect()} == {"north": ["a:3", "b:1"], "south": ["a:3", "b:1"]}
+    assert not re.search(r"HashAggregate\(keys=\[offer_key", profile._jdf.queryExecution().executedPlan().toString())
