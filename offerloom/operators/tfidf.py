@@ -22,8 +22,11 @@ from pyspark.sql import Window as W
 
 from offerloom.functions.text import each
 from offerloom.operators.ranking import top_per_group
+from offerloom.session import materialize
 
 MAX_DRIVER_FEATURES = 10_000
+#: Rows of a vocabulary by group that is broadcast.
+FEW_TERMS = 100_000
 
 
 def _term_statistics(docs: DataFrame, tokens: str, group: str | None) -> DataFrame:
@@ -61,11 +64,13 @@ def grouped_tfidf(docs: DataFrame, id_col: str, tokens: str, group: str, *, min_
     """(group, id, term, tfidf), every group with its own vocabulary and document frequencies."""
     vocab = vocabulary(docs, tokens, group=group, min_df=min_df, max_df=max_df, max_features=max_features,
                        min_docs=min_docs)
-    # a document's terms are counted inside its map task; what meets the vocabulary is one row per document and term
-    counts = docs.select(group, id_col, each(F.col(tokens)).alias("term")).groupBy(group, id_col, "term") \
-        .agg(F.count(F.lit(1)).alias("tf"))
-    weights = counts.join(vocab.select(group, "term", "idf"), [group, "term"]) \
-        .select(group, id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    vocab = materialize(vocab.select(group, "term", "idf"))
+    terms = docs.select(group, id_col, each(F.col(tokens)).alias("term"))
+    if vocab.count() <= FEW_TERMS:  # other tokens end in the map task
+        counts = terms.join(F.broadcast(vocab), [group, "term"]).groupBy(group, id_col, "term", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    else:  # what meets the vocabulary is one row per document and term
+        counts = terms.groupBy(group, id_col, "term").agg(F.count(F.lit(1)).alias("tf")).join(vocab, [group, "term"])
+    weights = counts.select(group, id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(group, id_col)))
     return weights.withColumn("tfidf", F.col("w") / norm).drop("w")
 

@@ -374,3 +374,16 @@ def test_region_profile_holds_no_map_of_offers_and_skills(spark):
     profile = aggregates.region_profile(offers, links)
     assert {r["region_name"]: list(r["top_skills"]) for r in profile.collect()} == {"north": ["a:3", "b:1"], "south": ["a:3", "b:1"]}
     assert not re.search(r"HashAggregate\(keys=\[offer_key", profile._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_grouped_weights_shuffle_only_known_terms(spark, few, monkeypatch):
+    """Equal weights with and without a broadcast vocabulary; with it only its terms are counted."""
+    from offerloom.operators import tfidf
+    monkeypatch.setattr(tfidf, "FEW_TERMS", few)
+    docs = spark.createDataFrame([(1, "g", ["a", "a", "b"]), (2, "g", ["a", "c"]), (3, "h", ["a"]), (4, None, ["a", "a"]), (5, "g", None)],
+                                 "id long, g string, tokens array<string>")
+    weights = tfidf.grouped_tfidf(docs, "id", "tokens", "g", min_df=2)
+    assert [(r["g"], r["id"], r["term"], round(r["tfidf"], 9)) for r in weights.orderBy("id", "term").collect()] == [("g", 1, "a", 1.0), ("g", 2, "a", 1.0)]
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert bool(re.search("BroadcastHashJoin", plan[plan.rindex("HashAggregate"):])) == bool(few)  # below the lowest aggregate
