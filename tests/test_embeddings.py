@@ -165,3 +165,25 @@ def test_a_long_text_ascends_as_if_its_scores_were_kept(monkeypatch):
     monkeypatch.setattr(e, "HELD", 0)
     e.ascend(inner, outer, [text], pool, again, t, 6)
     assert np.allclose(kept, again) and np.abs(kept).max() > 0
+
+
+def test_words_that_a_stretch_repeats_stay_bounded():
+    """Lines of one word and a very common word among others: summed gradients overshot there and grew from step to step."""
+    rng = np.random.default_rng(5)
+    texts = [np.full(600, 0), np.repeat([1, 2], 400)] + [np.where(rng.random(400) < 0.3, 3, rng.integers(0, 200, 400)) for _ in range(20)]
+    counts = np.bincount(np.concatenate(texts), minlength=200).astype(float)
+    inner, outer = ((rng.random((200, 100)) - 0.5).astype(np.float32) / 100 for _ in "ab")
+    docs = np.zeros((len(texts), 100), np.float32)
+    e.train(inner, outer, counts, counts.sum(), texts, e.Training(sample=0), [1], (0, 20), docs)
+    assert all(np.isfinite(x).all() and np.abs(x).max() < 20 for x in (inner, outer, docs))
+    bent = e._spanned(np.array([1.0, 2, 4, 8]), np.array([1, 2, 1, 1]), np.array([0, 0, 0, 3]), np.array([3, 3, 3, 4]))
+    assert bent.tolist() == [2, 5, 2, 0]
+    assert e._repeats(np.array([7, 5, 7, 7, 9, 1, 2, 3]), np.full(8, 1)).tolist() == [1, 2, 3, 3, 2, 1, 1, 1]
+
+
+@pytest.mark.parametrize("shards", [1, 12, 21])
+def test_every_shard_has_a_task_of_its_own(spark, shards):
+    dealt = e._dealt(spark.range(2000).withColumnRenamed("id", "row"), shards)
+    assert dealt.select("shard", "task").distinct().count() == shards
+    full = dealt.repartition(shards, "task").select(F.spark_partition_id().alias("p"), "shard").distinct().collect()
+    assert len(full) == shards and len({r["p"] for r in full}) == shards
