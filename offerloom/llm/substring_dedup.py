@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from offerloom.llm.common import stored
+from offerloom.llm.common import short_batches, stored
 
 WINDOW = 35
 GRAM = 8
@@ -84,10 +84,28 @@ def minimizers(values: np.ndarray, window: int, gram: int, powers: Powers) -> tu
     return least, grams[chosen]
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """Writes a table whose texts pass through Python, in short batches."""
+    with short_batches(df.sparkSession):
+        return stored(df, label)
+
+
 def _hashed(split: list[bytes], known: WordHashes) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, split), np.uint64, len(split))
 
 
+def _number(line: bytes) -> int:
+    """A hash of the words, which are joined by one space."""
+    return xxhash.xxh64_intdigest(line, 1) - (1 << 63)
+
+
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of an id and a text with the hash of the text's words between them."""
+    for batch in batches:
+        seq = [_number(b" ".join(t.split()) if t else b"") for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seq, pa.int64()), batch.column(1)], ["own", "own_seq", "text"])
+
+
 def _sketches(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, powers = WordHashes(), Powers(BASES[0])
@@ -98,7 +116,7 @@ def _sketches(window: int, gram: int):
                 line = b" ".join(split)
                 _, places = minimizers(_hashed(split, known), window, gram, powers) if len(split) >= window else (None, np.zeros(0, np.uint64))
                 once, times = np.unique(places, return_counts=True)
-                seq.append(xxhash.xxh64_intdigest(line, 1) - (1 << 63))
+                seq.append(_number(line))
                 count.append(len(split))
                 sha.append(hashlib.sha256(line).digest())
                 marks.append(np.concatenate([once, once[times > 1]]).view(np.int64))
@@ -152,7 +170,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     of each other; an empty table gives no rows; null ids are kept. Other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    sketch = stored(texts.mapInArrow(_sketches(window, gram), "doc_id long, seq long, n_words long, sha binary, marks array<long>"), "substring-sketches")
+    sketch = _stored(texts.mapInArrow(_sketches(window, gram), "doc_id long, seq long, n_words long, sha binary, marks array<long>"), "substring-sketches")
 
     # One representative of every word sequence, with its number of copies.
     groups = stored(sketch.where(F.col("n_words") >= window).groupBy("sha").agg(
@@ -169,16 +187,17 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     # Their windows, counted; only these texts are moved.
     seq = F.col("seq")
-    own = texts.select(F.col("doc_id").alias("own"), _sequence(F.col("text")).alias("own_seq"), "text")
+    own = texts.mapInArrow(_sequences, "own long, own_seq long, text binary")
     near = own.join(marked, F.col("own").eqNullSafe(F.col("doc_id")) & (F.col("own_seq") == seq)).select("doc_id", "seq", "single", "text", "marks")
-    near = stored(near.dropDuplicates(["doc_id", "seq"]), "substring-texts")
-    windows = stored(near.mapInArrow(_windows(window, gram), "h1 long, h2 long, doc_id long, seq long, single boolean, start int"), "substring-windows")
+    near = _stored(near.dropDuplicates(["doc_id", "seq"]), "substring-texts")
+    windows = _stored(near.mapInArrow(_windows(window, gram), "h1 long, h2 long, doc_id long, seq long, single boolean, start int"), "substring-windows")
     # Written, so that the join has an exchange of its own, whose hot keys Spark's skew handling can divide.
     repeated = stored(windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2"), "substring-repeated")
     starts = windows.where("single").join(repeated, ["h1", "h2"]).groupBy("doc_id", "seq").agg(F.collect_list("start").alias("starts")) \
         .select(F.col("doc_id").alias("d"), F.col("seq").alias("s"), "starts")
     cut = near.join(starts, F.col("doc_id").eqNullSafe(F.col("d")) & (seq == F.col("s"))).select("doc_id", "seq", "text", "starts") \
-        .mapInArrow(_removals(window), "doc_id long, seq long, n_removed long, kept_sha256 string, spans array<long>") \
+        .mapInArrow(_removals(window), "doc_id long, seq long, n_removed long, kept_sha256 string, spans array<long>")
+    cut = _stored(cut, "substring-cut") \
         .select(F.col("doc_id").alias("d"), F.col("seq").alias("s"), "n_removed", "kept_sha256", "spans")
 
     copies = groups.where("copies > 1").select(F.col("sha").alias("copied"))
@@ -195,7 +214,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 @F.pandas_udf(LongType())
 def _sequence(texts):
     import pandas as pd
-    return pd.Series([xxhash.xxh64_intdigest(b" ".join(t.split()) if t else b"", 1) - (1 << 63) for t in texts], dtype="int64")
+    return pd.Series([_number(b" ".join(t.split()) if t else b"") for t in texts], dtype="int64")
 
 
 def substring_digest(docs: DataFrame) -> DataFrame:

@@ -236,6 +236,23 @@ def test_marked_sequences_meet_their_texts_by_id_and_sequence(spark, monkeypatch
     assert re.search(r"Join Inner, .*own_?\w*#\d+.*seq#\d+", plans["substring-texts"])
 
 
+def test_texts_of_the_substring_search_pass_to_python_in_short_batches(spark, monkeypatch):
+    seen, stored, conf = [], substring_dedup.stored, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def note(df, label):
+        seen.append((df._jdf.queryExecution().optimizedPlan().toString(), int(spark.conf.get(conf))))
+        return stored(df, label)
+
+    monkeypatch.setattr(substring_dedup, "stored", note)
+    before = spark.conf.get(conf)
+    rows = [(1, f"head {PASSAGE}"), (2, f"{PASSAGE} tail"), (None, None)]
+    found = substring_dedup.substring_digest(spark.createDataFrame(rows, "doc_id long, text string"))
+    python = re.compile("MapInArrow|ArrowEval|PythonUDF")
+    assert [size for plan, size in seen if python.search(plan)] == [512] * 4
+    assert not python.search(found._jdf.queryExecution().optimizedPlan().toString()) and spark.conf.get(conf) == before
+    assert not any(re.search("ArrowEval|PythonUDF", plan) for plan, _ in seen)  # one kind of worker serves all
+
+
 def test_mixing(docs, empty, con):
     same(mixing.mix_digest(docs), con, oracles.MIXING_SQL)
     assert mixing.mix_digest(empty).count() == 0
