@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from offerloom.llm.common import components, free_name, stored
+from offerloom.llm.common import components, free_name, short_batches, stored
 
 SEED = 42
 SHINGLE = 4
@@ -219,7 +219,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     Equal fingerprints are one node, however many rows have them. Null ids stay and count as no id; repeated rows
     give repeated rows; an empty table gives none. Other columns are not read, so their names don't matter.
     """
-    prints = stored(fingerprints(docs), "simhash-prints")
+    with short_batches(docs.sparkSession):
+        prints = stored(fingerprints(docs), "simhash-prints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     roots = components(near_links(nodes), "simhash-components")
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
@@ -245,7 +246,8 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     hashed = [f.name for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
     prints = _with_prints(rows.select("doc_id", F.xxhash64(*hashed).alias("hash"), F.col(key).alias("row"), "text"))
     rank = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "hash", "row")
-    nodes = stored(prints.groupBy("fp").agg(F.min(rank).alias("first")), "simhash-nodes")
+    with short_batches(docs.sparkSession):
+        nodes = stored(prints.groupBy("fp").agg(F.min(rank).alias("first")), "simhash-nodes")
     roots = components(near_links(nodes), "simhash-components")
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
     kept = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(key))

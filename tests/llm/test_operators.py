@@ -253,6 +253,20 @@ def test_texts_of_the_substring_search_pass_to_python_in_short_batches(spark, mo
     assert not any(re.search("ArrowEval|PythonUDF", plan) for plan, _ in seen)  # one kind of worker serves all
 
 
+def test_fingerprinted_texts_pass_to_python_in_short_batches(spark, monkeypatch):
+    seen, stored, conf = [], simhash_dedup.stored, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def note(df, label):
+        seen.append((label, "MapInArrow" in df._jdf.queryExecution().optimizedPlan().toString(), int(spark.conf.get(conf))))
+        return stored(df, label)
+
+    monkeypatch.setattr(simhash_dedup, "stored", note)
+    before = spark.conf.get(conf)
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (None, None)], "doc_id long, text string")
+    assert simhash_dedup.near_groups(docs).count() == 3 and simhash_dedup.drop_near_duplicates(docs).count() == 2
+    assert [size for label, python, size in seen if python and label != "simhash-links"] == [512] * 2 and spark.conf.get(conf) == before
+
+
 def test_mixing(docs, empty, con):
     same(mixing.mix_digest(docs), con, oracles.MIXING_SQL)
     assert mixing.mix_digest(empty).count() == 0
